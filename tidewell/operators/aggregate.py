@@ -113,27 +113,29 @@ def score_board(people: DataFrame, max_age: int = 30) -> DataFrame:
 
 
 def mean_by_pandas(
-    frame: DataFrame, key: str, value: str, *, alias: str = "v", slices: int = 32
+    frame: DataFrame, key: str, value: str, *, alias: str = "v", buckets: int | None = None
 ) -> DataFrame:
-    """Mean of ``value`` per key, finished by a pandas function per group.
+    """Mean of ``value`` per key, finished by a grouped pandas function.
 
-    Rows are first reduced to at most ``slices`` partial sums per key, so the
-    pandas group of a hot key stays small. NULL and NaN values do not count; a
-    key without values has a NULL mean. Batch frames only.
+    Rows are first reduced to one partial sum per key, then each pandas group
+    takes one of ``buckets`` shares of the keys, so neither a hot key nor a
+    large number of keys makes a group large. NULL and NaN values do not count;
+    a key without values has a NULL mean. Batch frames only.
     """
+    if buckets is None:
+        buckets = 4 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = F.col(value).cast("double")
     number = F.when(~F.isnan(number), number)
-    key_type = frame.schema[key].dataType.simpleString()
     partials = (
-        frame.select(key, number.alias("x"), (F.spark_partition_id() % slices).alias("slice"))
-        .groupBy(key, "slice")
-        .agg(F.sum("x").alias("total"), F.count("x").alias("n"))
-        .select(key, "total", "n")
+        frame.groupBy(key)
+        .agg(F.sum(number).alias("total"), F.count(number).alias("n"))
+        .withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     )
 
-    def finish(group_key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        n = int(group["n"].sum())
-        mean = float(group["total"].sum()) / n if n else None
-        return pd.DataFrame({key: [group_key[0]], alias: pd.Series([mean], dtype="float64")})
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        n = group["n"]
+        mean = (group["total"].astype("float64") / n).where(n > 0)
+        return pd.DataFrame({key: group[key], alias: mean})
 
-    return partials.groupBy(key).applyInPandas(finish, f"`{key}` {key_type}, `{alias}` double")
+    key_type = frame.schema[key].dataType.simpleString()
+    return partials.groupBy("bucket").applyInPandas(finish, f"`{key}` {key_type}, `{alias}` double")

@@ -29,18 +29,20 @@ def parse_access_log(
 
     ``agent`` is the last quoted field, which the common server format fills
     with the host name; ``user_agent`` adds the true one (third quoted field).
-    Empty quoted fields do not count, so runs of quotes act as one separator.
+    Empty quoted fields do not count as fields.
     """
     kept = lines.where(longer_than("value", min_length))
-    sections = kept.select("value", F.split(F.btrim("value", F.lit('"')), '"+').alias("sections"))
+    sections = kept.select(
+        "value", F.array_remove(split_on("value", '"'), "").alias("sections")
+    )
     cut = sections.select(
         "value",
         split_on(strip_all(part("sections", 0)), " ").alias("head"),
         split_on(strip_all(part("sections", 1)), " ").alias("request"),
         split_on(strip_all(part("sections", 2)), " ").alias("outcome"),
-        strip_all(F.element_at("sections", -1)).alias("agent"),
+        strip_all(F.try_element_at("sections", F.lit(-1))).alias("agent"),
     )
-    columns = [
+    fields = [
         part("head", 0).alias("remote_ip"),
         F.replace(part("head", 3), F.lit("["), F.lit("")).alias("request_time"),
         part("request", 0).alias("method"),
@@ -51,13 +53,14 @@ def parse_access_log(
         F.col("agent"),
     ]
     if user_agent:
-        columns.append(strip_all(part(split_on("value", '"'), 5)).alias("user_agent"))
+        fields.append(strip_all(part(split_on("value", '"'), 5)).alias("user_agent"))
+    record = F.array(F.struct(*fields))
     if not keep_malformed:
-        # The last field each section must have; NULL also when a section is missing.
-        cut = cut.where(
-            (F.size("head") > 3) & (F.size("request") > 2) & (F.size("outcome") > 1)
-        )
-    return cut.select(*columns)
+        # Sections too short, or missing, make no record. A filter would do the
+        # same but split every line a second time.
+        complete = (F.size("head") > 3) & (F.size("request") > 2) & (F.size("outcome") > 1)
+        record = F.when(complete, record)
+    return cut.select(F.inline(record))
 
 
 def parse_word_score(lines: DataFrame) -> DataFrame:

@@ -62,8 +62,10 @@ class EpochTable:
         frame.select(*typed).write.mode("overwrite").parquet(f"{self.path}/{part}/epoch={epoch}")
 
     def _commit(self, spark: SparkSession, epoch: int, base: int) -> None:
-        record = spark.createDataFrame([(epoch, base)], _COMMIT)
-        record.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        record = spark.range(0, 1, 1, 1).select(
+            F.lit(epoch).cast("bigint").alias("epoch"), F.lit(base).cast("bigint").alias("base")
+        )
+        record.write.mode("append").parquet(f"{self.path}/commits")
 
     # -- reading ----------------------------------------------------------------
 
