@@ -90,7 +90,11 @@ def wait_for(query: StreamingQuery, timeout: float) -> StreamingQuery:
 
 
 def wait_for_any(spark: SparkSession, timeout: float | None = None) -> bool:
-    """Wait until one query of the session ends; False when time ran out."""
+    """Wait until one query of the session ends; False when time ran out.
+
+    A query that ended before counts too, and its failure is raised, until
+    ``spark.streams.resetTerminated()`` is called.
+    """
     if timeout is None:
         spark.streams.awaitAnyTermination()
         return True
