@@ -95,6 +95,12 @@ def test_mean_by_pandas_text_and_null_keys(spark):
     assert dict(tuples(aggregate.mean_by_pandas(frame, "k", "x"))) == {"a": 1.5, None: 4.0}
 
 
+def test_mean_by_pandas_keeps_large_whole_keys(spark):
+    big = (1 << 60) + 1
+    frame = spark.createDataFrame([(big, 1.0), (None, 2.0), (big, 4.0)], "k long, x double")
+    assert dict(tuples(aggregate.mean_by_pandas(frame, "k", "x", buckets=1))) == {big: 2.5, None: 2.0}
+
+
 def test_query_view_with_derived_table(spark):
     frame = spark.range(5).select(F.col("id"), (F.col("id") % 2).alias("city"))
     out = aggregate.query_view(

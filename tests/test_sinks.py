@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import tuples
@@ -68,6 +69,29 @@ def test_upsert_equals_a_dict(spark, table, counts, fold_every):
     assert content(t, spark) == want
 
 
+def test_old_versions_are_deleted(spark, table, counts):
+    replaced, folded = table(), table(keys=["word"], fold_every=2)
+    for epoch in range(9):
+        replaced.replace(counts(a=epoch), epoch)
+        folded.upsert(counts(a=epoch), epoch)
+    assert content(replaced, spark) == content(folded, spark) == {"a": 8}
+
+    def epochs(t, part):
+        return sorted(int(p.name.split("=")[1]) for p in (Path(t.path) / part).glob("epoch=*"))
+
+    assert epochs(replaced, "data") == [7, 8]
+    assert len(epochs(folded, "data")) <= 5 and len(epochs(folded, "fold")) <= 2
+
+
+def test_reopened_table_goes_on(spark, table, counts):
+    first = table(keys=["word"], fold_every=2)
+    for epoch in range(4):
+        first.upsert(counts(**{f"w{epoch}": epoch}), epoch)
+    second = EpochTable(first.path, WORD_COUNT, keys=["word"], fold_every=2)
+    second.upsert(counts(w0=9), 4)
+    assert content(second, spark) == {"w0": 9, "w1": 1, "w2": 2, "w3": 3}
+
+
 def test_upsert_keeps_null_values_and_null_keys(spark, table):
     t = table(keys=["word"])
     t.upsert(spark.createDataFrame([(None, 1), ("a", 1)], WORD_COUNT), 0)

@@ -129,13 +129,20 @@ def mean_by_pandas(
     partials = (
         frame.groupBy(key)
         .agg(F.sum(number).alias("total"), F.count(number).alias("n"))
-        .withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+        # Text keys, as pandas would turn whole numbers with NULLs into floats.
+        .select(
+            F.col(key).cast("string").alias("key"),
+            "total",
+            "n",
+            F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"),
+        )
     )
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
         n = group["n"]
         mean = (group["total"].astype("float64") / n).where(n > 0)
-        return pd.DataFrame({key: group[key], alias: mean})
+        return pd.DataFrame({"key": group["key"], "mean": mean})
 
-    key_type = frame.schema[key].dataType.simpleString()
-    return partials.groupBy("bucket").applyInPandas(finish, f"`{key}` {key_type}, `{alias}` double")
+    means = partials.groupBy("bucket").applyInPandas(finish, "key string, mean double")
+    key_type = frame.schema[key].dataType
+    return means.select(F.col("key").cast(key_type).alias(key), F.col("mean").alias(alias))

@@ -6,15 +6,20 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import SparkSession
 
-# State of a long stream outgrows the heap; RocksDB keeps it on executor disk.
+# State of a long stream outgrows the heap; RocksDB keeps it on executor disk and
+# saves only what an epoch changed.
 ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE,
+    **STATE_SETTINGS,
 }
 
 

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-_COMMIT = StructType(
-    [StructField("epoch", LongType()), StructField("base", LongType())]
-)
+from tidewell.scratch import remove_folder
+
+_COMMIT = StructType([StructField("base", LongType()), StructField("epoch", LongType())])
+# Commit records kept behind the last one.
+_COMMITS_KEPT = 100
 
 
 class EpochTable:
@@ -22,7 +24,8 @@ class EpochTable:
     ``replace``, ``append`` and ``upsert`` are ``foreachBatch`` functions; use
     one of them per table. ``keys`` are needed for ``upsert``, which keeps only
     the changed rows of each epoch and folds them into a full copy every
-    ``fold_every`` epochs.
+    ``fold_every`` epochs. Replaced content is deleted two versions later, so a
+    frame that was read before stays readable for a while.
     """
 
     def __init__(
@@ -33,13 +36,16 @@ class EpochTable:
         self.keys = list(keys or [])
         self.fold_every = fold_every
         self._values = [f.name for f in schema if f.name not in self.keys]
+        self._committed: tuple[int, int] | None = None
 
     # -- writing ----------------------------------------------------------------
 
     def replace(self, batch: DataFrame, epoch: int) -> None:
         """The batch is the whole new content."""
+        spark = batch.sparkSession
         self._write(batch, "data", epoch)
-        self._commit(batch.sparkSession, epoch, base=epoch)
+        self._commit(spark, epoch, base=epoch)
+        self._forget(spark, "data", epoch - 2)
 
     def append(self, batch: DataFrame, epoch: int) -> None:
         self._write(batch, "data", epoch)
@@ -51,21 +57,34 @@ class EpochTable:
             raise ValueError("upsert needs keys")
         spark = batch.sparkSession
         self._write(batch, "data", epoch)
-        base = self._state(spark, before=epoch)[1]
-        if epoch - base >= self.fold_every:
-            self._write(self._latest(spark, epoch, base), "fold", epoch)
-            base = epoch
-        self._commit(spark, epoch, base)
+        base = self._base_before(spark, epoch)
+        if epoch - base < self.fold_every:
+            self._commit(spark, epoch, base)
+            return
+        self._write(self._latest(spark, epoch, base), "fold", epoch)
+        self._commit(spark, epoch, epoch)
+        for old in range(base - self.fold_every + 1, base + 1):
+            self._forget(spark, "data", old)
+        self._forget(spark, "fold", base - self.fold_every)
 
     def _write(self, frame: DataFrame, part: str, epoch: int) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
         frame.select(*typed).write.mode("overwrite").parquet(f"{self.path}/{part}/epoch={epoch}")
 
     def _commit(self, spark: SparkSession, epoch: int, base: int) -> None:
-        record = spark.range(0, 1, 1, 1).select(
-            F.lit(epoch).cast("bigint").alias("epoch"), F.lit(base).cast("bigint").alias("base")
-        )
-        record.write.mode("append").parquet(f"{self.path}/commits")
+        record = spark.range(0, 1, 1, 1).select(F.lit(base).cast("bigint").alias("base"))
+        record.write.mode("overwrite").parquet(f"{self.path}/commits/epoch={epoch}")
+        self._committed = (epoch, base)
+        self._forget(spark, "commits", epoch - _COMMITS_KEPT)
+
+    def _forget(self, spark: SparkSession, part: str, epoch: int) -> None:
+        if epoch >= 0:
+            remove_folder(spark, f"{self.path}/{part}/epoch={epoch}")
+
+    def _base_before(self, spark: SparkSession, epoch: int) -> int:
+        if self._committed is not None and self._committed[0] < epoch:
+            return self._committed[1]
+        return self._state(spark, before=epoch)[1]
 
     # -- reading ----------------------------------------------------------------
 

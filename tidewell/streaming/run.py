@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidewell.session import ROCKSDB_STATE
+from tidewell.session import STATE_SETTINGS
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 BUILTIN_STATE = (
@@ -22,15 +22,20 @@ BatchFunction = Callable[[DataFrame, int], None]
 @contextmanager
 def _disk_state(spark: SparkSession) -> Iterator[None]:
     """Keep state in RocksDB unless the session chose something else."""
-    before = spark.conf.get(PROVIDER, BUILTIN_STATE)
-    if before != BUILTIN_STATE:
+    if spark.conf.get(PROVIDER, BUILTIN_STATE) != BUILTIN_STATE:
         yield
         return
-    spark.conf.set(PROVIDER, ROCKSDB_STATE)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def checkpoint_path(root: str, name: str) -> str:
