@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tidewell.operators import parse
 
 GOOD = (
-    '180.163.30.85 - - [18/Oct/2022:19:40:51 +0800] "GET /path HTTP/1.1" 200 1234 '
+    '203.0.113.85 - - [18/Oct/2022:19:40:51 +0800] "GET /path HTTP/1.1" 200 1234 '
     '"http://ref" "Mozilla/5.0 (X11)" "-" "www.example.org"'
 )
-FIELDS = ("180.163.30.85", "18/Oct/2022:19:40:51", "GET", "/path", "HTTP/1.1", "200", "1234")
+FIELDS = ("203.0.113.85", "18/Oct/2022:19:40:51", "GET", "/path", "HTTP/1.1", "200", "1234")
 
 
 def test_access_log_fields(lines_of):
