@@ -28,6 +28,16 @@ def test_equals_sql(spark, db, name):
     assert rows_of(frame.columns, [tuple(r) for r in frame.collect()]) == want
 
 
+@pytest.mark.parametrize("name", ["log_top_day", "per_batch_count", "window_closed_stream"])
+def test_equals_sql_in_another_zone(spark, db, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_equals_sql(spark, db, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_entry(spark):
     frame = entry_points.entry(spark)
     assert frame.columns == ["type", "totalMoney"]

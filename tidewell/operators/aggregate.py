@@ -38,8 +38,10 @@ def word_counts_where(lines: DataFrame, test) -> DataFrame:
 
 
 WORD_COUNT_SQL = """
-WITH tmp AS (SELECT explode(split(trim(value), ' ')) AS word FROM {view})
-SELECT word, count(1) AS count FROM tmp GROUP BY word
+WITH words AS (
+  SELECT word FROM {view} LATERAL VIEW explode(split(trim(value), ' ')) AS word
+)
+SELECT word, count(*) AS count FROM words GROUP BY word
 """
 
 

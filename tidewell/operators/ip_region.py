@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.ip import MAX_IPV4, ip_to_long
+from tidewell.scratch import written
 
 DENSE_RANGES = 64
 BROADCAST_BYTES = 128 << 20
@@ -43,7 +44,8 @@ def build_index(ranges: DataFrame, *, broadcast_limit: int = BROADCAST_BYTES) ->
 
     ``ranges`` has the columns of ``schemas.IP_RANGE``; both ends belong to the
     range. Missing or reversed ends and overlapping ranges are refused. Runs one
-    small job on the range table, and another when some networks are crowded.
+    job on the range table; when some networks are crowded the index is written
+    to the shared folder, as it would be worked out anew on every use.
     """
     ranges = ranges.select(
         F.col("ip_start").cast("bigint").alias("ip_start"),
@@ -100,6 +102,7 @@ def build_index(ranges: DataFrame, *, broadcast_limit: int = BROADCAST_BYTES) ->
 
     # At most 65,536 numbers, whatever the size of the range table.
     dense = per_bucket.where(F.col("n") > DENSE_RANGES).select(F.col("_bucket").alias("_dense"))
+    dense = written(dense, "dense-networks")
     tagged = coarse.join(F.broadcast(dense), F.col("_bucket") == F.col("_dense"), "left")
     low = F.greatest("ip_start", F.shiftleft("_bucket", 16))
     high = F.least("ip_end", F.shiftleft("_bucket", 16) + 0xFFFF)
@@ -114,6 +117,7 @@ def build_index(ranges: DataFrame, *, broadcast_limit: int = BROADCAST_BYTES) ->
             .select(*columns, (F.col("_fine") + _FINE_BASE).alias("_bucket"))
         )
     )
+    rows = written(rows, "range-index")
     size = rows.agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("region")).alias("region_bytes")
     ).first()

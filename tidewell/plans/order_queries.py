@@ -13,6 +13,7 @@ from tidewell.plans import lines
 from tidewell.plans.registry import register
 from tidewell.sources import files
 
+# The label of the overall total and the cities reported on their own.
 TOTAL_LABEL = "国家"
 CHOSEN_CITIES = [20, 30]
 
@@ -58,7 +59,7 @@ def order_by_region(spark, folder):
     "order_by_city_subset",
     f"""{lines.PLACED_ORDERS}
 SELECT city AS type, CAST(sum(money) AS DECIMAL(20,2)) AS "totalMoney"
-FROM (SELECT * FROM placed WHERE city IN (20, 30)) t GROUP BY city
+FROM placed WHERE city IN (20, 30) GROUP BY city
 """,
 )
 def order_by_city_subset(spark, folder):
@@ -80,8 +81,11 @@ def order_by_city_sql(spark, folder):
     return aggregate.query_view(
         _placed(spark, folder),
         "placed_orders",
-        """SELECT city AS type, SUM(money) AS totalMoney
-           FROM (SELECT * FROM placed_orders WHERE city IN (20, 30)) t GROUP BY t.city""",
+        """
+        SELECT city AS type, sum(money) AS totalMoney
+        FROM (SELECT city, money FROM placed_orders WHERE city IN (20, 30)) chosen
+        GROUP BY city
+        """,
     )
 
 

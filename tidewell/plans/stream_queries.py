@@ -98,7 +98,8 @@ def _arrivals(
 ) -> None:
     """Land the events slice by slice, oldest first, and call ``start`` after each."""
     events = files.read_table(spark, folder, "events")
-    cuts = [F.lit(c).cast("timestamp_ntz") for c in _slice_bounds(events, SLICES)]
+    # As text, since a Python datetime would be read in the zone of the machine.
+    cuts = [F.lit(str(c)).cast("timestamp_ntz") for c in _slice_bounds(events, SLICES)]
     landing = scratch_dir(spark, "landing")
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:]):
@@ -145,7 +146,7 @@ def stream_sql_total(spark, folder):
     total = aggregate.query_view(
         _order_stream(spark, folder),
         "order_stream",
-        f"SELECT '{TOTAL_LABEL}' AS type, SUM(money) AS totalMoney FROM order_stream",
+        f"SELECT '{TOTAL_LABEL}' AS type, sum(money) AS totalMoney FROM order_stream",
     )
     table = EpochTable(_place(spark, "sql-total"), TOTALS)
     return _run(total, "sql-total", "complete", table, "replace")
@@ -447,7 +448,7 @@ def stream_call_etl(spark, folder):
     events = files.stream_table(spark, folder, "events", max_bytes=BATCH_BYTES)
     calls = parse.successful_calls(lines.call_lines(events))
     table = EpochTable(_place(spark, "calls"), schemas.LINE)
-    return _run(calls, "state-etl", "append", table, "append")
+    return _run(calls, "call-etl", "append", table, "append")
 
 
 @register("stream_timed_words", f"SELECT word FROM {_EVENT_WORDS}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -30,6 +30,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder, computed now and only once."""
+    path = scratch_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; a missing one is fine."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
