@@ -103,9 +103,8 @@ def test_mean_by_pandas_keeps_large_whole_keys(spark):
 
 def test_query_view_with_derived_table(spark):
     frame = spark.range(5).select(F.col("id"), (F.col("id") % 2).alias("city"))
-    out = aggregate.query_view(
-        frame, "nums", "SELECT city, sum(id) AS s FROM (SELECT * FROM nums WHERE city IN (1)) t GROUP BY city"
-    )
+    sql = "SELECT city, sum(id) AS s FROM (SELECT * FROM nums WHERE city IN (1)) t GROUP BY city"
+    out = aggregate.query_view(frame, "nums", sql)
     assert tuples(out) == [(1, 4)]
 
 

@@ -101,7 +101,10 @@ def test_lookup_equals_brute_force(lookup_case, limit):
     index = build_index(ranges, broadcast_limit=limit)
     assert index.dense is not None
     assert index.fits_broadcast is bool(limit)
-    got = tuples(add_region(facts.repartition(5), index, salts=3))
+    found = add_region(facts.repartition(5), index, salts=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) is not bool(limit)
+    got = tuples(found)
     assert in_order(got) == in_order(want)
 
 

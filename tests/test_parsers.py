@@ -103,7 +103,9 @@ def test_calls(lines_of):
 
 
 def test_timed_words(lines_of):
-    frame = lines_of("2019-10-12 09:00:02,cat dog", "bad,owl", "a,b,c", "", "2019-10-12 09:00:03,", None)
+    frame = lines_of(
+        "2019-10-12 09:00:02,cat dog", "bad,owl", "a,b,c", "", "2019-10-12 09:00:03,", None
+    )
     t = datetime(2019, 10, 12, 9, 0, 2)
     assert tuples(parse.parse_timed_words(frame)) == [
         (t, "cat"),

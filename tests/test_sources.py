@@ -29,7 +29,9 @@ def test_scratch_refuses_a_machine_folder_on_a_cluster():
 
     class Cluster:
         conf = Conf()
-        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+        sparkContext = type(
+            "Context", (), {"master": "spark://host:7077", "getConf": lambda self: Conf()}
+        )()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(Cluster())
@@ -69,7 +71,8 @@ def test_repeated_names_are_refused(spark):
 
 def test_inline_rows_cast_to_text(spark):
     rows = [("Finance", 10), (None, None)]
-    assert tuples(files.inline_rows(spark, rows, schemas.KEY_VALUE)) == [("Finance", "10"), (None, None)]
+    got = tuples(files.inline_rows(spark, rows, schemas.KEY_VALUE))
+    assert got == [("Finance", "10"), (None, None)]
     typed = StructType([StructField("k", StringType()), StructField("n", IntegerType())])
     assert tuples(files.inline_rows(spark, [("a", 1)], typed)) == [("a", 1)]
 

@@ -161,9 +161,10 @@ def add_region(
         left = left.withColumn("_salt", task % salts).withColumn(
             "_bucket", F.coalesce("_bucket", -1 - task)
         )
-        right = right.withColumn(
-            "_range_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-        )
+        every = F.array(*[F.lit(n).cast("bigint") for n in range(salts)])
+        # The hint keeps the planner, which cannot foresee how far ranges
+        # spread over buckets, from broadcasting what was measured as too large.
+        right = right.withColumn("_range_salt", F.explode(every)).hint("merge")
         matches = matches & (F.col("_salt") == F.col("_range_salt"))
     return left.join(right, matches, "left").select(
         *kept,

@@ -15,7 +15,7 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder of this machine.
     """
-    root = spark.conf.get(SETTING, None)
+    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
