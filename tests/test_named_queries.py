@@ -17,7 +17,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(entry_points.QUERIES))
 def test_equals_sql(spark, db, name):
     frame = entry_points.queries()[name](spark, FOLDER)
     result = db.execute(entry_points.oracle_sql()[name])
