@@ -28,7 +28,7 @@ SHARD_ROWS, QUERY_ROWS = 400, 256
 #: Bounds of the index: clusters of a label, and rows of a label they are fitted on.
 MOST_CLUSTERS, SAMPLE_ROWS = 32, 4000
 #: Radians beyond the nearest centroid up to which a vector also joins another's shard.
-OVERLAP = 0.12
+OVERLAP = 0.15
 DEGREE, ALPHA, NEAREST, RANDOM, BEAM = 16, 1.2, 48, 8, 24
 
 
