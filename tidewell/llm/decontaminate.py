@@ -116,27 +116,45 @@ def _near_seeds(codes: list[int], seeds: dict, least: int) -> dict[int, list[int
     return out
 
 
+def _hits(text: str | None, block, least: int, least_coverage: float):
+    """(item_id, coverage, tiles, longest tile) of the items of a block that a text holds."""
+    coded, words, seeds = block
+    codes = [words.get(t, 0) for t in tokens(text)]
+    for at, part in _near_seeds(codes, seeds, least).items():
+        item_id, item = coded[at]
+        if len(part) < least_coverage * len(item):
+            continue  # fewer tokens than the coverage takes
+        found = tiles(item, part, least)
+        share = sum(n for _, _, n in found) / len(item)
+        if share >= least_coverage:
+            yield item_id, share, len(found), max(n for _, _, n in found)
+
+
 def _tile_block(shared, least: int, least_coverage: float):
     def run(batches):
-        coded, words, seeds = shared.value
         for batch in slices(batches):
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                codes = [words.get(t, 0) for t in tokens(text)]
-                for at, part in _near_seeds(codes, seeds, least).items():
-                    item_id, item = coded[at]
-                    if len(part) < least_coverage * len(item):
-                        continue  # fewer tokens than the coverage takes
-                    found = tiles(item, part, least)
-                    share = sum(n for _, _, n in found) / len(item)
-                    if share >= least_coverage:
-                        rows.append((doc_id, item_id, share, len(found), max(n for _, _, n in found)))
+            rows = [
+                (doc_id, *hit)
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for hit in _hits(text, shared.value, least, least_coverage)
+            ]
             if rows:
                 yield arrow_batch(list(zip(*rows, strict=True)), ARROW)
 
     return run
 
 
+def _blocks(benchmark: DataFrame, least: int):
+    """Broadcast blocks of the benchmark, each of about ``BLOCK_CHARS`` characters."""
+    items = benchmark.select(
+        benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")
+    ).where("text is not null")
+    blocks = 1 + (items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS
+    for k in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        yield items.sparkSession.sparkContext.broadcast(_coded([tuple(r) for r in block.collect()], least))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, least_tile: int = LEAST_TILE, least_coverage: float = LEAST_COVERAGE
 ) -> DataFrame:
@@ -149,15 +167,8 @@ def contaminated(
     """
     spark = docs.sparkSession
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    items = benchmark.select(
-        benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")
-    ).where("text is not null")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + size // BLOCK_CHARS
     out = spark.createDataFrame([], SCHEMA)
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast(_coded([tuple(r) for r in block.collect()], least_tile))
+    for k, shared in enumerate(_blocks(benchmark, least_tile)):
         found = narrow.mapInArrow(_tile_block(shared, least_tile, least_coverage), SCHEMA)
         out = found if not k else out.unionByName(found)
     return out
@@ -168,15 +179,21 @@ def op2_decontaminate(spark, folder):
 
 
 def clean(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the documents that hold no benchmark item.
+    """Pipeline stage: the rows that hold no benchmark item, each judged by its own text.
 
-    Rows of one id go together; rows without id are judged by their text alone, through the
-    texts that were found.
+    One narrow pass for each block of items; nothing is shuffled.
     """
-    bench = table(spark, folder, "benchmark")
-    named = contaminated(docs, bench).select("doc_id").where("doc_id is not null").distinct()
-    kept = docs.where("doc_id is not null").join(named, "doc_id", "left_anti").select(*docs.columns)
-    nameless = docs.where("doc_id is null").withColumn("doc_id", F.xxhash64("text"))
-    bad = contaminated(nameless, bench).select("doc_id").distinct()
-    rest = nameless.join(bad, "doc_id", "left_anti").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
-    return kept.unionByName(rest.select(*docs.columns))
+    at = docs.schema.names.index("text")
+
+    def without(shared):
+        def run(batches):
+            for batch in slices(batches):
+                held = [next(_hits(t, shared.value, LEAST_TILE, LEAST_COVERAGE), None) for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array([h is None for h in held], pa.bool_()))
+
+        return run
+
+    schema = docs.schema
+    for shared in _blocks(table(spark, folder, "benchmark"), LEAST_TILE):
+        docs = docs.mapInArrow(without(shared), schema)
+    return docs

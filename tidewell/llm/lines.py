@@ -147,21 +147,23 @@ def without_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("gone").alias("__gone"))
     lines = F.split("text", "\n", -1)
     rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    joined = docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left")
+    # Shuffled at every size: whether the deletions fit a broadcast depends on the data.
+    joined = docs.join(gone.hint("merge"), docs["doc_id"] == gone["__gone_id"], "left")
     loses = F.col("__gone").isNotNull() & F.col("text").isNotNull()
     return joined.withColumn("text", F.when(loses, rest).otherwise(F.col("text"))).withColumn(
         "__n_gone", F.when(loses, F.size("__gone")).otherwise(0)
-    ).drop("__gone_id", "__gone")
+    ).drop("__gone_id")
 
 
 def op7_lines(spark, folder):
     """(doc_id, n_gone, gone, text): every document, its deleted lines and what is left."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     gone = written(repeated_lines(docs), "line-gone")
-    listed = gone.select(F.col("doc_id").alias("listed_id"), F.array_join(F.col("gone").cast("array<string>"), ",").alias("gone"))
-    out = without_lines(docs, gone)
-    return out.join(listed, out["doc_id"] == listed["listed_id"], "left").select(
-        "doc_id", F.col("__n_gone").cast("long").alias("n_gone"), F.coalesce("gone", F.lit("")).alias("gone"), "text"
+    return without_lines(docs, gone).select(
+        "doc_id",
+        F.col("__n_gone").cast("long").alias("n_gone"),
+        F.coalesce(F.array_join(F.col("__gone").cast("array<string>"), ","), F.lit("")).alias("gone"),
+        "text",
     )
 
 

@@ -148,5 +148,6 @@ def first_of_each(spark, docs: DataFrame, folder: str) -> DataFrame:
     """
     found = simhash_components(docs)
     first = written(found.where("doc_id = component_id").select("doc_id").distinct(), "simhash-first")
-    kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    # Shuffled at every size: whether the kept ids fit a broadcast depends on the data.
+    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))
