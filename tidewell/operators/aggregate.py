@@ -117,34 +117,22 @@ def score_board(people: DataFrame, max_age: int = 30) -> DataFrame:
 def mean_by_pandas(
     frame: DataFrame, key: str, value: str, *, alias: str = "v", buckets: int | None = None
 ) -> DataFrame:
-    """Mean of ``value`` per key, finished by a grouped pandas function.
+    """Mean of ``value`` per key, finished by a pandas function.
 
-    Rows are first reduced to one partial sum per key, then each pandas group
-    takes one of ``buckets`` shares of the keys, so neither a hot key nor a
-    large number of keys makes a group large. NULL and NaN values do not count;
-    a key without values has a NULL mean. Batch frames only.
+    Rows are reduced to one sum and count per key; pandas then takes Arrow batches of keys,
+    without another shuffle (but for one if ``buckets`` asks for so many tasks), so neither a
+    hot key nor many keys make a batch large. NULL and NaN values do not count; a key without
+    values has a NULL mean. Batch frames only.
     """
-    if buckets is None:
-        buckets = 4 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = F.col(value).cast("double")
     number = F.when(~F.isnan(number), number)
-    partials = (
-        frame.groupBy(key)
-        .agg(F.sum(number).alias("total"), F.count(number).alias("n"))
-        # Text keys, as pandas would turn whole numbers with NULLs into floats.
-        .select(
-            F.col(key).cast("string").alias("key"),
-            "total",
-            "n",
-            F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"),
-        )
-    )
+    sums = frame.groupBy(key).agg(F.struct(F.sum(number).alias("total"), F.count(number).alias("n")).alias("sums"))
+    if buckets is not None:
+        sums = sums.repartition(buckets)
 
-    def finish(group: pd.DataFrame) -> pd.DataFrame:
-        n = group["n"]
-        mean = (group["total"].astype("float64") / n).where(n > 0)
-        return pd.DataFrame({"key": group["key"], "mean": mean})
+    @F.pandas_udf("double")
+    def finish(sums: pd.DataFrame) -> pd.Series:
+        n = sums["n"]
+        return (sums["total"].astype("float64") / n).where(n > 0)
 
-    means = partials.groupBy("bucket").applyInPandas(finish, "key string, mean double")
-    key_type = frame.schema[key].dataType
-    return means.select(F.col("key").cast(key_type).alias(key), F.col("mean").alias(alias))
+    return sums.select(key, finish("sums").alias(alias))

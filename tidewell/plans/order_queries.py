@@ -17,6 +17,9 @@ from tidewell.sources import files
 TOTAL_LABEL = "国家"
 CHOSEN_CITIES = [20, 30]
 
+#: One type for totals, whichever way the range lookup goes.
+TOTAL_TYPE = "decimal(20,2)"
+
 
 def valid_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = lines.order_lines(files.read_table(spark, folder, "orders"))
@@ -52,6 +55,7 @@ FROM placed GROUP BY province
 @register("order_by_region", ORDER_BY_PROVINCE_SQL)
 def order_by_region(spark, folder):
     totals = aggregate.total_by(_placed(spark, folder), "province", "money", "totalMoney")
+    totals = totals.withColumn("totalMoney", F.col("totalMoney").cast(TOTAL_TYPE))
     return totals.withColumnRenamed("province", "type")
 
 
@@ -66,6 +70,7 @@ def order_by_city_subset(spark, folder):
     totals = aggregate.total_by_chosen(
         _placed(spark, folder), "city", CHOSEN_CITIES, "money", "totalMoney"
     )
+    totals = totals.withColumn("totalMoney", F.col("totalMoney").cast(TOTAL_TYPE))
     return totals.withColumnRenamed("city", "type")
 
 
@@ -82,7 +87,7 @@ def order_by_city_sql(spark, folder):
         _placed(spark, folder),
         "placed_orders",
         """
-        SELECT city AS type, sum(money) AS totalMoney
+        SELECT city AS type, CAST(sum(money) AS DECIMAL(20,2)) AS totalMoney
         FROM (SELECT city, money FROM placed_orders WHERE city IN (20, 30)) chosen
         GROUP BY city
         """,
@@ -110,10 +115,14 @@ FROM placed GROUP BY region, province, city
 def order_regions_shuffled(spark, folder):
     """The lookup as it runs when the range table is too large to broadcast."""
     ranges = lines.nation_ranges(files.read_table(spark, folder, "nation"))
-    placed = add_region(valid_orders(spark, folder), build_index(ranges, broadcast_limit=0), salts=8)
-    return placed.groupBy("region", "province", "city").agg(
+    # Summed per address first: a bucket then has 65,536 rows at most.
+    per_address = valid_orders(spark, folder).groupBy("ip").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("money").alias("money")
     )
+    placed = add_region(per_address, build_index(ranges, broadcast_limit=0), salts=8)
+    return placed.groupBy("region", "province", "city").agg(
+        F.sum("orders").alias("orders"), F.sum("money").cast(TOTAL_TYPE).alias("money")
+    )
 
 
 @register("order_by_region_udf", ORDER_BY_PROVINCE_SQL)

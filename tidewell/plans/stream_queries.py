@@ -240,7 +240,7 @@ def stream_three_queries(spark, folder):
             )
         )
     for query in started:
-        run.wait_for(query, 86_400)
+        run.wait_for(query)
     out = None
     for name, table in tables.items():
         rows = table.read(spark).select(F.lit(name).alias("target"), "key", "count")

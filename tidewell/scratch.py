@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Folders made for local masters without the setting, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -20,9 +22,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidewell-")
-    spark.conf.set(SETTING, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tidewell-")
+    return _LOCAL[application]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -12,7 +12,8 @@ def save_text(
     """Write one formatted line per row; ``files`` lowers the number of files."""
     out = frame.select(line.alias("value"))
     if files is not None:
-        out = out.coalesce(files)
+        # Not coalesce, which would also cut the parallelism of the work before it.
+        out = out.repartition(files)
     out.write.mode(mode).text(path)
 
 
@@ -32,7 +33,13 @@ def show(frame: DataFrame, rows: int = 20, *, truncate: bool = True, schema: boo
     frame.show(rows, truncate=truncate)
 
 
-def print_pairs(frame: DataFrame, rows: int = 1000) -> None:
-    """Print the first two columns as ``key: value`` lines, at most ``rows``."""
-    for row in frame.limit(rows).collect():
+def print_pairs(frame: DataFrame, rows: int | None = None) -> None:
+    """Print the first two columns as ``key: value`` lines: all rows, a partition at a time.
+
+    With ``rows`` only so many are printed, and a last line says when there are more.
+    """
+    for n, row in enumerate((frame if rows is None else frame.limit(rows + 1)).toLocalIterator()):
+        if n == rows:
+            print(f"... more than {rows} rows")
+            return
         print(f"{row[0]}: {row[1]}")

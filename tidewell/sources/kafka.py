@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 SCRAM_LOGIN = "org.apache.kafka.common.security.scram.ScramLoginModule"
+# Login module by mechanism.
+LOGINS = {
+    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
+    "SCRAM-SHA-256": SCRAM_LOGIN,
+    "SCRAM-SHA-512": SCRAM_LOGIN,
+}
 
 
 @dataclass(frozen=True)
@@ -30,12 +36,18 @@ class KafkaTarget:
             out["kafka.sasl.mechanism"] = self.sasl_mechanism
         if self.user is not None:
             out["kafka.sasl.jaas.config"] = (
-                f"{SCRAM_LOGIN} required username={_quoted(self.user)} "
+                f"{self._login()} required username={_quoted(self.user)} "
                 f"password={_quoted(self.password or '')};"
             )
         out.update(self.extra)
         return out
 
+    def _login(self) -> str:
+        mechanism = self.sasl_mechanism or "SCRAM-SHA-512"
+        if mechanism not in LOGINS:
+            raise ValueError(f"no login module known for {mechanism}; give sasl.jaas.config in extra")
+        return LOGINS[mechanism]
+
 
 def _quoted(text: str) -> str:
     return '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '"'

@@ -86,9 +86,11 @@ def start(
         return writer.start()
 
 
-def wait_for(query: StreamingQuery, timeout: float) -> StreamingQuery:
-    """Wait for the end of a query; stop it and raise when it takes too long."""
-    if not query.awaitTermination(timeout):
+def wait_for(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Wait for the end of a query; with ``timeout`` stop it and raise when it takes longer."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"query {query.name} still ran after {timeout} s")
     return query
@@ -121,7 +123,7 @@ def drain(
     name: str,
     checkpoint_root: str,
     *,
-    timeout: float = 86_400,
+    timeout: float | None = None,
     **options,
 ) -> StreamingQuery:
     """Process everything available now, then return the finished query."""

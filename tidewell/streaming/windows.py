@@ -21,8 +21,8 @@ def window_counts(
     With ``watermark`` rows later than that are dropped and closed windows leave
     the state. ``ordered`` sorts by window, ascending (streams: complete mode).
     """
-    if dict(events.dtypes)[time] == "timestamp_ntz":
-        # Watermarks need TIMESTAMP.
+    if watermark is not None and dict(events.dtypes)[time] == "timestamp_ntz":
+        # Only watermarks need TIMESTAMP; windows of wall-clock times know no clock change.
         events = events.withColumn(time, F.col(time).cast("timestamp"))
     if watermark is not None:
         events = events.withWatermark(time, watermark)
