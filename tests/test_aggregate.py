@@ -72,6 +72,16 @@ def test_totals(spark):
     assert tuples(chosen) == [("x", 20)]
 
 
+def test_top_counts_each_with_many_keys(spark):
+    frame = spark.range(9000).select((F.col("id") % 3000).alias("a"), F.lit("x").alias("b"))
+    frame = frame.unionByName(spark.range(5).select(F.lit(7).cast("long").alias("a"), F.lit("y").alias("b")))
+    got = tuples(aggregate.top_counts_each(frame, {"a": "a", "b": "b"}, 2000))
+    a = sorted((r for r in got if r[0] == "a"), key=lambda r: (-r[2], r[1]))
+    assert len(a) == 2000 and a[0] == ("a", "7", 8) and {r[2] for r in a[1:]} == {3}
+    assert [r[1] for r in a[1:]] == sorted(str(n) for n in range(3000) if n != 7)[:1999]
+    assert sorted(r for r in got if r[0] == "b") == [("b", "x", 9000), ("b", "y", 5)]
+
+
 def test_score_board(spark):
     rows = [("a", 29, 80), ("b", 30, 80), ("c", None, 80), ("d", 1, 70), ("e", 2, 80)]
     people = spark.createDataFrame(rows, "name string, age int, score int")

@@ -11,6 +11,7 @@ from tidewell.scratch import scratch_dir
 from tidewell.sinks import output
 from tidewell.sinks.epochs import EpochTable
 from tidewell.sinks.foreach import BufferedWriter
+from tidewell.streaming import run
 
 
 @pytest.fixture
@@ -77,7 +78,7 @@ def test_old_versions_are_deleted(spark, table, counts):
     assert content(replaced, spark) == content(folded, spark) == {"a": 8}
 
     def epochs(t, part):
-        return sorted(int(p.name.split("=")[1]) for p in (Path(t.path) / part).glob("epoch=*"))
+        return sorted(int(p.name.split("=")[1]) for p in (Path(t.path) / part).rglob("epoch=*"))
 
     assert epochs(replaced, "data") == [7, 8]
     assert len(epochs(folded, "data")) <= 5 and len(epochs(folded, "fold")) <= 2
@@ -117,6 +118,58 @@ def test_failed_epoch_is_not_visible(spark, table, counts, monkeypatch):
     assert content(t, spark) == {"a": 2, "b": 1}
 
 
+@pytest.mark.parametrize("write", ["replace", "append", "upsert"])
+def test_a_new_checkpoint_starts_the_table_anew(spark, table, counts, tmp_path, write):
+    t = table(keys=["word"] if write == "upsert" else None)
+    for generation in range(4):
+        folder = str(tmp_path / f"in{generation}")
+        for epoch in range(3 - generation % 3):
+            counts(**{f"g{generation}e{epoch}": epoch}).coalesce(1).write.mode("append").parquet(folder)
+        reader = spark.readStream.schema(WORD_COUNT).option("maxFilesPerTrigger", 1)
+        stream = reader.parquet(folder)
+        again = EpochTable(t.path, t.schema, keys=t.keys) if generation % 2 else t
+        run.drain(stream, "anew", str(tmp_path / f"check{generation}"), each_batch=getattr(again, write))
+        t = again
+        want = {f"g{generation}e{epoch}" for epoch in range(3 - generation % 3)}
+        got = set(content(t, spark))
+        assert got == want if write != "replace" else len(got) == 1 and got <= want
+    assert len(list((Path(t.path) / "data").glob("generation=*"))) == 2
+
+
+def test_append_is_packed(spark, table, counts):
+    t = table(fold_every=3)
+    for epoch in range(11):
+        t.append(counts(**{f"w{epoch}": epoch}), epoch)
+        if epoch in (2, 5, 6):
+            t.append(counts(**{f"w{epoch}": epoch}), epoch)
+        assert sorted(tuples(t.read_with_epoch(spark))) == sorted((f"w{e}", e, e) for e in range(epoch + 1))
+    assert content(t, spark) == {f"w{e}": e for e in range(11)}
+    assert len(list((Path(t.path) / "pack").rglob("epoch=*"))) == 3
+    assert len(list((Path(t.path) / "data").rglob("epoch=*"))) <= 6
+
+
+def test_upsert_takes_the_greatest_of_one_key(spark, table):
+    t = table(keys=["word"])
+    t.upsert(spark.createDataFrame([("a", 3), ("a", 5), ("a", 4), ("b", None)], WORD_COUNT), 0)
+    assert content(t, spark) == {"a": 5, "b": None}
+
+
+def test_one_version_is_read_without_a_shuffle(spark, table, counts):
+    t = table(keys=["word"], fold_every=1)
+    t.upsert(counts(a=1), 0)
+    t.upsert(counts(a=2), 1)
+    assert "Exchange" not in t.read(spark)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_json_files_writer_leaves_nothing_after_an_error(tmp_path):
+    writer = json_files_writer(f"{tmp_path}/rows")
+    writer.chunk = 1
+    writer.open(0, 0)
+    writer.process(Row(word="a", count=1))
+    writer.close(ValueError("x"))
+    assert list((tmp_path / "rows").iterdir()) == []
+
+
 def test_save_text(spark, counts, tmp_path):
     frame = counts(a=1, b=2)
     output.save_text(frame, str(tmp_path / "o"), F.format_string("%s: %d", "word", "count"), files=1)

@@ -53,9 +53,20 @@ def region_udf(ranges: Sequence[tuple[int, int, int, int]]):
         at = np.searchsorted(start, ip, side="right") - 1
         hit = known & (at >= 0)
         hit[hit] = ip[hit] <= end[at[hit]]
-        out = np.full(len(ip), None, dtype=object)
-        for i in np.flatnonzero(hit):
-            out[i] = pair[at[i]]
-        return pd.Series(out)
+        return _arrays(hit, pair[at[hit]])
 
     return lookup
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def place_udf(province: pd.Series, city: pd.Series) -> pd.Series:
+    """``array(province, city)`` of a place already looked up; NULL if either is missing."""
+    known = (province.notna() & city.notna()).to_numpy()
+    return _arrays(known, np.column_stack([province[known], city[known]]).astype("int32"))
+
+
+def _arrays(known: np.ndarray, rows: np.ndarray) -> pd.Series:
+    """The rows as arrays at the known places, NULL elsewhere."""
+    out = np.full(len(known), None, dtype=object)
+    out[known] = np.fromiter(rows, dtype=object, count=len(rows))
+    return pd.Series(out)

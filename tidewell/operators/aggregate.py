@@ -71,9 +71,10 @@ def counts_descending(frame: DataFrame, key: str) -> DataFrame:
 def top_counts_each(frame: DataFrame, keys: Mapping[str, Column | str], k: int = 10) -> DataFrame:
     """Top ``k`` of several keys from a single scan: (metric, key, count).
 
-    The rank limit is applied before the ranking shuffle, so each task passes
-    on at most ``k`` rows per metric.
+    Keys are ranked in parts, dealt by hash, and the best ``k`` of each part once more:
+    however many keys a metric has, the last ranking sees ``k`` for each part.
     """
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = F.array(
         *[
             F.struct(
@@ -84,9 +85,11 @@ def top_counts_each(frame: DataFrame, keys: Mapping[str, Column | str], k: int =
         ]
     )
     counts = count_by(frame.select(F.inline(pairs)), "metric", "key")
-    order = Window.partitionBy("metric").orderBy(F.desc("count"), "key")
-    ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.drop("rank")
+    best = counts.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
+    for group in (["metric", "part"], ["metric"]):
+        order = Window.partitionBy(*group).orderBy(F.desc("count"), "key")
+        best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("metric", "key", "count")
 
 
 def total(frame: DataFrame, column: str, alias: str) -> DataFrame:
@@ -109,9 +112,14 @@ def total_by_chosen(
     return total_by(frame.where(one_of(key, chosen)), key, column, alias)
 
 
+def score_counts(people: DataFrame, max_age: int = 30) -> DataFrame:
+    """How many people below ``max_age`` have each score."""
+    return count_by(people.where(F.col("age") < max_age), "score")
+
+
 def score_board(people: DataFrame, max_age: int = 30) -> DataFrame:
-    """How many people below ``max_age`` have each score, in score order."""
-    return count_by(people.where(F.col("age") < max_age), "score").orderBy("score")
+    """``score_counts`` in score order (streams: complete mode)."""
+    return score_counts(people, max_age).orderBy("score")
 
 
 def mean_by_pandas(

@@ -43,8 +43,8 @@ def build_index(ranges: DataFrame, *, broadcast_limit: int = BROADCAST_BYTES) ->
     """Check the ranges and cut them into buckets.
 
     ``ranges`` has the columns of ``schemas.IP_RANGE``; both ends belong to the
-    range. Missing or reversed ends and overlapping ranges are refused. Runs one
-    job on the range table; when some networks are crowded the index is written
+    range. Missing or reversed ends and overlapping ranges are refused. Runs two
+    jobs on the range table; when some networks are crowded the index is written
     to the shared folder, as it would be worked out anew on every use.
     """
     ranges = ranges.select(
@@ -59,12 +59,11 @@ def build_index(ranges: DataFrame, *, broadcast_limit: int = BROADCAST_BYTES) ->
         & F.col("ip_end").between(0, MAX_IPV4)
         & (F.col("ip_start") <= F.col("ip_end"))
     )
+    unsound = ranges.agg(F.count_if(~F.coalesce(sound, F.lit(False)))).first()[0]
+    if unsound:
+        raise ValueError(f"{unsound} ranges lack an end or are reversed or out of bounds")
     networks = F.sequence(F.shiftright("ip_start", 16), F.shiftright("ip_end", 16))
-    # Unsound ranges are counted in a bucket of their own.
-    nowhere = F.array(F.lit(-1).cast("bigint"))
-    coarse = ranges.select(
-        "*", F.explode(F.when(sound, networks).otherwise(nowhere)).alias("_bucket")
-    )
+    coarse = ranges.select("*", F.explode(F.when(sound, networks)).alias("_bucket"))
     before = (
         Window.partitionBy("_bucket")
         .orderBy("ip_start", "ip_end")
@@ -83,16 +82,12 @@ def build_index(ranges: DataFrame, *, broadcast_limit: int = BROADCAST_BYTES) ->
             F.count_if("overlaps").alias("overlaps"),
         )
     )
-    good = F.col("_bucket") >= 0
     facts = per_bucket.agg(
-        F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(~good, F.col("n"))), F.lit(0)).alias("unsound"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum("region_bytes"), F.lit(0)).alias("region_bytes"),
-        F.coalesce(F.sum(F.when(good, F.col("overlaps"))), F.lit(0)).alias("overlaps"),
+        F.coalesce(F.sum("overlaps"), F.lit(0)).alias("overlaps"),
         F.count_if(F.col("n") > DENSE_RANGES).alias("dense"),
     ).first()
-    if facts.unsound:
-        raise ValueError(f"{facts.unsound} ranges lack an end or are reversed or out of bounds")
     if facts.overlaps:
         raise ValueError(f"{facts.overlaps} ranges overlap an earlier one")
 

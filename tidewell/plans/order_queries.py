@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ip import ip_to_long, is_ip, long_to_ip
-from tidewell.functions.udfs import region_udf
+from tidewell.functions.udfs import place_udf
 from tidewell.operators import aggregate, parse
 from tidewell.operators.ip_region import RangeIndex, add_region, build_index, place_totals
 from tidewell.plans import lines
@@ -59,6 +59,16 @@ def order_by_region(spark, folder):
     return totals.withColumnRenamed("province", "type")
 
 
+@register("order_by_region_shuffled", ORDER_BY_PROVINCE_SQL)
+def order_by_region_shuffled(spark, folder):
+    """The same as it runs when the range table is too large to broadcast."""
+    ranges = lines.nation_ranges(files.read_table(spark, folder, "nation"))
+    placed = place_totals(valid_orders(spark, folder), build_index(ranges, broadcast_limit=0))
+    totals = aggregate.total_by(placed, "province", "money", "totalMoney")
+    totals = totals.withColumn("totalMoney", F.col("totalMoney").cast(TOTAL_TYPE))
+    return totals.withColumnRenamed("province", "type")
+
+
 @register(
     "order_by_city_subset",
     f"""{lines.PLACED_ORDERS}
@@ -127,16 +137,10 @@ def order_regions_shuffled(spark, folder):
 
 @register("order_by_region_udf", ORDER_BY_PROVINCE_SQL)
 def order_by_region_udf(spark, folder):
-    """Place from an array-valued Python function; the nation table has 25 rows."""
-    ranges = lines.nation_ranges(files.read_table(spark, folder, "nation"))
-    pairs = [
-        (r.ip_start, r.ip_end, r.province, r.city)
-        for r in ranges.limit(50_001).collect()
-    ]
-    lookup = region_udf(pairs)
-    placed = valid_orders(spark, folder).withColumn("place", lookup(ip_to_long("ip")))
+    """Place from an array-valued Python function, over the ranges joined natively."""
+    placed = _placed(spark, folder).withColumn("place", place_udf("province", "city"))
     placed = placed.select(F.get("place", F.lit(0)).alias("type"), "money")
-    return placed.groupBy("type").agg(F.sum("money").alias("totalMoney"))
+    return placed.groupBy("type").agg(F.sum("money").cast(TOTAL_TYPE).alias("totalMoney"))
 
 
 @register(

@@ -12,6 +12,7 @@ import datetime as dt
 import re
 from collections.abc import Callable
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -95,14 +96,16 @@ def _arrivals(
     folder: str,
     to_lines: Callable[[DataFrame], DataFrame],
     start: Callable[[DataFrame], None],
+    order: tuple[int, ...] = tuple(range(SLICES)),
 ) -> None:
-    """Land the events slice by slice, oldest first, and call ``start`` after each."""
+    """Land the events slice by slice, oldest first or in ``order``; ``start`` runs after each."""
     events = files.read_table(spark, folder, "events")
     # As text, since a Python datetime would be read in the zone of the machine.
     cuts = [F.lit(str(c)).cast("timestamp_ntz") for c in _slice_bounds(events, SLICES)]
     landing = scratch_dir(spark, "landing")
     edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:]):
+    slices = list(zip(edges, edges[1:]))
+    for low, high in (slices[k] for k in order if k < len(slices)):
         part = events
         if low is not None:
             part = part.where(F.col("ts") >= low)
@@ -308,13 +311,17 @@ def overwrite_counts(spark, folder):
 def json_files_writer(folder: str) -> BufferedWriter:
     """A ``foreach`` object writing JSON lines, one file per partition and epoch.
 
-    A repeated partition writes the same file again.
+    A file is written under a hidden name of its task attempt and gets its own at the end; after
+    an error it is deleted. A repeated partition replaces its file.
     """
-    # Spark writes file:/path, pyarrow wants file:///path or a plain path.
-    base = re.sub("^file:/+", "/", folder)
+    # Spark writes file:/path and s3a://, pyarrow wants a plain path and s3://.
+    base = re.sub("^s3[an]:", "s3:", re.sub("^file:/+", "/", folder))
 
     def connect(partition: int, epoch: int) -> dict:
-        return {"epoch": epoch, "name": f"part-{epoch:06d}-{partition:06d}.json", "out": None}
+        task = TaskContext.get()
+        name = f"part-{epoch:06d}-{partition:06d}.json"
+        hidden = f"_{name}.{task.taskAttemptId() if task else 0}"
+        return {"epoch": epoch, "name": name, "hidden": hidden, "out": None}
 
     def write(target: dict, rows: list) -> None:
         import json
@@ -324,14 +331,21 @@ def json_files_writer(folder: str) -> BufferedWriter:
         if target["out"] is None:
             system, path = fs.FileSystem.from_uri(base)
             system.create_dir(path, recursive=True)
-            target["out"] = system.open_output_stream(f"{path}/{target['name']}")
+            target |= {"system": system, "path": path}
+            target["out"] = system.open_output_stream(f"{path}/{target['hidden']}")
         for row in rows:
             record = {**row.asDict(), "epoch": target["epoch"]}
             target["out"].write((json.dumps(record) + "\n").encode())
 
     def finish(target: dict, error: BaseException | None) -> None:
-        if target["out"] is not None:
-            target["out"].close()
+        if target["out"] is None:
+            return
+        target["out"].close()
+        hidden = f"{target['path']}/{target['hidden']}"
+        if error is None:
+            target["system"].move(hidden, f"{target['path']}/{target['name']}")
+        else:
+            target["system"].delete_file(hidden)
 
     return BufferedWriter(connect, write, finish)
 
@@ -342,9 +356,11 @@ def foreach_rows(spark, folder):
     place = _place(spark, "foreach")
     documents = files.stream_table(spark, folder, "documents", max_bytes=BATCH_BYTES)
     counts = aggregate.word_counts(lines.document_lines(documents))
+    schema = StructType([*WORD_COUNT.fields, StructField("epoch", LongType())])
+    # No rows, no files: the folder is there even so.
+    spark.createDataFrame([], schema).write.json(f"{place}/rows")
     writer = json_files_writer(f"{place}/rows")
     run.drain(counts, "foreach", f"{place}/checkpoints", mode="update", each_row=writer)
-    schema = StructType([*WORD_COUNT.fields, StructField("epoch", LongType())])
     rows = spark.read.schema(schema).json(f"{place}/rows")
     return rows.groupBy("word").agg(F.max_by("count", "epoch").alias("count"))
 
@@ -352,12 +368,12 @@ def foreach_rows(spark, folder):
 # -- event time ------------------------------------------------------------------------------
 
 
-def _window_sql(source: str, tail: str = "") -> str:
+def _window_sql(source: str, tail: str = "", late: str = "") -> str:
     return f"""
-WITH e AS (SELECT unnest([0, 1]) AS o, word, ts FROM {source}),
-w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * o AS window_start, word FROM e)
+WITH e AS (SELECT unnest([0, 1]) AS o, * FROM {source}),
+w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * o AS window_start, * FROM e)
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, word, count(*) AS count
-FROM w GROUP BY window_start, word {tail}
+FROM w {late} GROUP BY window_start, word {tail}
 """
 
 
@@ -383,12 +399,12 @@ def window_counts_batch(spark, folder):
 
 @register("window_counts_stream", _window_sql(_TIMED_WORDS))
 def window_counts_stream(spark, folder):
-    """Complete mode, ordered by window."""
+    """Complete mode, ordered by window when read: written files keep no order."""
     events = files.stream_table(spark, folder, "events", max_bytes=BATCH_BYTES)
     timed = parse.parse_timed_words(lines.timed_lines(events))
-    counts = window_counts(timed, width="10 minutes", slide="5 minutes", ordered=True)
+    counts = window_counts(timed, width="10 minutes", slide="5 minutes")
     table = EpochTable(_place(spark, "windows"), WINDOW_COUNT)
-    out = _run(counts, "windows", "complete", table, "replace")
+    out = _run(counts, "windows", "complete", table, "replace").orderBy("window_start", "word")
     return local_times(out, "window_start", "window_end")
 
 
@@ -412,6 +428,27 @@ def window_watermark_stream(spark, folder):
     return local_times(table.read(spark), "window_start", "window_end")
 
 
+@register(
+    "window_late_stream",
+    _window_sql(
+        f"(SELECT event_type AS word, ts, {SLICE_SQL} AS slice FROM events)",
+        late="WHERE slice > 0 OR window_start + INTERVAL 10 MINUTE > "
+        "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
+    ),
+)
+def window_late_stream(spark, folder):
+    """The oldest slice comes last: its rows count only in windows the watermark has not passed."""
+    table = EpochTable(
+        _place(spark, "late"), WINDOW_COUNT, keys=["window_start", "window_end", "word"]
+    )
+
+    def start(stream: DataFrame) -> None:
+        _run(_late_windows(stream), "late", "update", table, "upsert")
+
+    _arrivals(spark, folder, lines.word_time_lines, start, order=(1, 2, 0))
+    return local_times(table.read(spark), "window_start", "window_end")
+
+
 @register(
     "window_closed_stream",
     _window_sql(
@@ -474,7 +511,8 @@ def stream_score_board(spark, folder):
     people = parse.parse_word_score(lines.score_lines(customer))
     schema = StructType([StructField("score", IntegerType()), StructField("count", LongType())])
     table = EpochTable(_place(spark, "scores"), schema)
-    return _run(aggregate.score_board(people), "scores", "complete", table, "replace")
+    counts = aggregate.score_counts(people)
+    return _run(counts, "scores", "complete", table, "replace").orderBy("score")
 
 
 @register(

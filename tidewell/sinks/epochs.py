@@ -2,30 +2,57 @@
 
 Every epoch is written to a folder of its own and becomes visible by a commit
 record written afterwards, so a reader never sees half an epoch and a repeated
-epoch replaces itself.
+epoch replaces itself. A stream with a new checkpoint counts its epochs from
+zero again; it starts a new generation of the table.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewell.scratch import remove_folder
 
-_COMMIT = StructType([StructField("base", LongType()), StructField("epoch", LongType())])
+_COMMIT = StructType(
+    [
+        StructField("base", LongType()),
+        StructField("mode", StringType()),
+        StructField("query", StringType()),
+        StructField("generation", LongType()),
+        StructField("epoch", LongType()),
+    ]
+)
 # Commit records kept behind the last one.
 _COMMITS_KEPT = 100
+# Set by Spark on the thread of a streaming query; stays the same as long as its checkpoint.
+_QUERY_ID = "sql.streaming.queryId"
+_PARTS = ("data", "fold", "pack", "commits")
+
+
+class _State(NamedTuple):
+    """A commit: ``base`` is the epoch of the last full copy or pack, -1 before the first."""
+
+    generation: int = -1
+    epoch: int = -1
+    base: int = -1
+    mode: str = ""
+    query: str = ""
 
 
 class EpochTable:
     """Parquet result of a stream.
 
     ``replace``, ``append`` and ``upsert`` are ``foreachBatch`` functions; use
-    one of them per table. ``keys`` are needed for ``upsert``, which keeps only
-    the changed rows of each epoch and folds them into a full copy every
-    ``fold_every`` epochs. Replaced content is deleted two versions later, so a
-    frame that was read before stays readable for a while.
+    one of them per table, and one query at a time. ``keys`` are needed for
+    ``upsert``, which keeps only the changed rows of each epoch and folds them
+    into a full copy every ``fold_every`` epochs; ``append`` packs so many
+    epochs into one folder. Replaced content is deleted two versions later, so a
+    frame that was read before stays readable for a while. When another query
+    (a new checkpoint) writes, the content so far no longer counts; it is
+    deleted when a third one begins.
     """
 
     def __init__(
@@ -36,99 +63,176 @@ class EpochTable:
         self.keys = list(keys or [])
         self.fold_every = fold_every
         self._values = [f.name for f in schema if f.name not in self.keys]
-        self._committed: tuple[int, int] | None = None
+        self._committed: _State | None = None
 
     # -- writing ----------------------------------------------------------------
 
     def replace(self, batch: DataFrame, epoch: int) -> None:
         """The batch is the whole new content."""
         spark = batch.sparkSession
-        self._write(batch, "data", epoch)
-        self._commit(spark, epoch, base=epoch)
-        self._forget(spark, "data", epoch - 2)
+        generation = self._before(spark, epoch).generation
+        self._write(self._typed(batch), generation, "data", epoch)
+        self._commit(spark, generation, epoch, epoch, "replace")
+        self._forget(spark, generation, "data", epoch - 2)
 
     def append(self, batch: DataFrame, epoch: int) -> None:
-        self._write(batch, "data", epoch)
-        self._commit(batch.sparkSession, epoch, base=0)
+        spark = batch.sparkSession
+        last = self._before(spark, epoch)
+        self._write(self._typed(batch), last.generation, "data", epoch)
+        base = last.base
+        if epoch - base >= self.fold_every:
+            rows = self._epochs(spark, last.generation, "data", base + 1, epoch)
+            rows = rows.withColumnRenamed("epoch", "_came_in")
+            self._write(rows, last.generation, "pack", epoch)
+            base = epoch
+        self._commit(spark, last.generation, epoch, base, "append")
+        if base == epoch:
+            self._forget_folded(spark, last)
 
     def upsert(self, batch: DataFrame, epoch: int) -> None:
-        """Insert or replace rows by key. The batch has one row per key."""
+        """Insert or replace rows by key. Of several rows of a key in one batch the greatest
+        counts, compared by the other columns in their order."""
         if not self.keys:
             raise ValueError("upsert needs keys")
         spark = batch.sparkSession
-        self._write(batch, "data", epoch)
-        base = self._base_before(spark, epoch)
-        if epoch - base < self.fold_every:
-            self._commit(spark, epoch, base)
-            return
-        self._write(self._latest(spark, epoch, base), "fold", epoch)
-        self._commit(spark, epoch, epoch)
-        for old in range(base - self.fold_every + 1, base + 1):
-            self._forget(spark, "data", old)
-        self._forget(spark, "fold", base - self.fold_every)
-
-    def _write(self, frame: DataFrame, part: str, epoch: int) -> None:
-        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        frame.select(*typed).write.mode("overwrite").parquet(f"{self.path}/{part}/epoch={epoch}")
-
-    def _commit(self, spark: SparkSession, epoch: int, base: int) -> None:
-        record = spark.range(0, 1, 1, 1).select(F.lit(base).cast("bigint").alias("base"))
-        record.write.mode("overwrite").parquet(f"{self.path}/commits/epoch={epoch}")
-        self._committed = (epoch, base)
-        self._forget(spark, "commits", epoch - _COMMITS_KEPT)
-
-    def _forget(self, spark: SparkSession, part: str, epoch: int) -> None:
+        last = self._before(spark, epoch)
+        self._write(self._one_per_key(self._typed(batch)), last.generation, "data", epoch)
+        base = last.base
+        if epoch - base >= self.fold_every:
+            rows = self._latest(spark, last._replace(epoch=epoch))
+            self._write(rows, last.generation, "fold", epoch)
+            base = epoch
+        self._commit(spark, last.generation, epoch, base, "upsert")
+        if base == epoch:
+            self._forget_folded(spark, last)
+            self._forget(spark, last.generation, "fold", last.base - self.fold_every)
+
+    def _typed(self, frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+
+    def _one_per_key(self, frame: DataFrame) -> DataFrame:
+        if not self._values:
+            return frame.dropDuplicates(self.keys)
+        greatest = F.max(F.struct(*self._values)).alias("newest")
+        return self._unpacked(frame.groupBy(*self.keys).agg(greatest))
+
+    def _unpacked(self, frame: DataFrame) -> DataFrame:
+        values = [F.col(f"newest.{v}").alias(v) for v in self._values]
+        return frame.select(*self.keys, *values).select(*self.schema.names)
+
+    def _folder(self, generation: int, part: str, epoch: int | None = None) -> str:
+        folder = f"{self.path}/{part}/generation={generation}"
+        return folder if epoch is None else f"{folder}/epoch={epoch}"
+
+    def _write(self, frame: DataFrame, generation: int, part: str, epoch: int) -> None:
+        frame.write.mode("overwrite").parquet(self._folder(generation, part, epoch))
+
+    def _commit(
+        self, spark: SparkSession, generation: int, epoch: int, base: int, mode: str
+    ) -> None:
+        state = _State(generation, epoch, base, mode, self._query(spark))
+        record = spark.range(0, 1, 1, 1).select(
+            F.lit(base).cast("bigint").alias("base"),
+            F.lit(mode).alias("mode"),
+            F.lit(state.query).alias("query"),
+        )
+        self._write(record, generation, "commits", epoch)
+        began = self._committed is None or self._committed.generation != generation
+        self._committed = state
+        self._forget(spark, generation, "commits", epoch - _COMMITS_KEPT)
+        if began and generation >= 2:
+            for part in _PARTS:
+                remove_folder(spark, self._folder(generation - 2, part))
+
+    def _forget(self, spark: SparkSession, generation: int, part: str, epoch: int) -> None:
         if epoch >= 0:
-            remove_folder(spark, f"{self.path}/{part}/epoch={epoch}")
+            remove_folder(spark, self._folder(generation, part, epoch))
+
+    def _forget_folded(self, spark: SparkSession, last: _State) -> None:
+        for old in range(last.base - self.fold_every + 1, last.base + 1):
+            self._forget(spark, last.generation, "data", old)
 
-    def _base_before(self, spark: SparkSession, epoch: int) -> int:
-        if self._committed is not None and self._committed[0] < epoch:
-            return self._committed[1]
-        return self._state(spark, before=epoch)[1]
+    @staticmethod
+    def _query(spark: SparkSession) -> str:
+        return spark.sparkContext.getLocalProperty(_QUERY_ID) or ""
+
+    def _before(self, spark: SparkSession, epoch: int) -> _State:
+        """What the epoch builds on; an empty state in a new generation for another query."""
+        last, query = self._committed or self._state(spark), self._query(spark)
+        if last.generation < 0 or last.query != query:
+            return _State(generation=last.generation + 1)
+        if last.epoch < epoch:
+            return last
+        return self._state(spark, last.generation, epoch)
 
     # -- reading ----------------------------------------------------------------
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The committed content, without a row order."""
-        epoch, base = self._state(spark)
-        if epoch < 0:
+        state = self._state(spark)
+        if state.epoch < 0:
             return spark.createDataFrame([], self.schema)
-        if self.keys:
-            return self._latest(spark, epoch, base)
-        return self._epochs(spark, "data", base, epoch).select(*self.schema.names)
+        if state.mode == "upsert":
+            return self._latest(spark, state)
+        return self._appended(spark, state).select(*self.schema.names)
 
     def read_with_epoch(self, spark: SparkSession) -> DataFrame:
         """Appended content with the ``epoch`` each row came in."""
-        epoch, base = self._state(spark)
-        if epoch < 0:
+        state = self._state(spark)
+        if state.epoch < 0:
             return spark.createDataFrame([], self._with_epoch())
-        return self._epochs(spark, "data", base, epoch)
+        return self._appended(spark, state)
 
-    def _state(self, spark: SparkSession, before: int | None = None) -> tuple[int, int]:
-        """Last committed epoch and the epoch its full copy was made at."""
+    def _state(
+        self, spark: SparkSession, generation: int | None = None, before: int | None = None
+    ) -> _State:
+        """The last commit, or the last one before an epoch of a generation."""
+        nothing = _State() if generation is None else _State(generation)
         try:
             commits = spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
         except Exception as error:
             if "PATH_NOT_FOUND" in str(error):
-                return -1, -1
+                return nothing
             raise
-        if before is not None:
-            commits = commits.where(F.col("epoch") < before)
-        last = commits.agg(F.max(F.struct("epoch", "base")).alias("last")).first().last
-        return (last.epoch, last.base) if last else (-1, -1)
+        if generation is not None:
+            commits = commits.where((F.col("generation") == generation) & (F.col("epoch") < before))
+        last = commits.agg(F.max(F.struct(*_State._fields)).alias("last")).first().last
+        return _State(*last) if last else nothing
 
     def _with_epoch(self) -> StructType:
         return StructType([*self.schema.fields, StructField("epoch", LongType())])
 
-    def _epochs(self, spark: SparkSession, part: str, first: int, last: int) -> DataFrame:
-        frame = spark.read.schema(self._with_epoch()).parquet(f"{self.path}/{part}")
+    def _epochs(
+        self, spark: SparkSession, generation: int, part: str, first: int, last: int
+    ) -> DataFrame:
+        frame = spark.read.schema(self._with_epoch()).parquet(self._folder(generation, part))
         return frame.where(F.col("epoch").between(first, last))
 
-    def _latest(self, spark: SparkSession, epoch: int, base: int) -> DataFrame:
-        changes = self._epochs(spark, "data", base + 1, epoch)
+    def _appended(self, spark: SparkSession, state: _State) -> DataFrame:
+        if state.mode == "replace":
+            return self._epochs(spark, state.generation, "data", state.epoch, state.epoch)
+        rows = []
+        if state.base >= 0:
+            schema = StructType([*self.schema.fields, StructField("_came_in", LongType()),
+                                 StructField("epoch", LongType())])
+            packs = spark.read.schema(schema).parquet(self._folder(state.generation, "pack"))
+            packs = packs.where(F.col("epoch") <= state.base).drop("epoch")
+            rows.append(packs.withColumnRenamed("_came_in", "epoch"))
+        if state.base < state.epoch:
+            rows.append(self._epochs(spark, state.generation, "data", state.base + 1, state.epoch))
+        return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
+    def _latest(self, spark: SparkSession, state: _State) -> DataFrame:
+        generation, epoch, base = state[:3]
+        # A single version holds each key once and is read as it is.
+        if base == epoch:
+            return self._epochs(spark, generation, "fold", base, base).select(*self.schema.names)
+        if base < 0 and epoch == 0:
+            return self._epochs(spark, generation, "data", 0, 0).select(*self.schema.names)
+        changes = self._epochs(spark, generation, "data", base + 1, epoch)
         if base >= 0:
-            changes = changes.unionByName(self._epochs(spark, "fold", base, base))
+            changes = changes.unionByName(self._epochs(spark, generation, "fold", base, base))
+        if not self._values:
+            return changes.select(*self.keys).distinct()
         newest = F.max_by(F.struct(*self._values), "epoch").alias("newest")
-        latest = changes.groupBy(*self.keys).agg(newest)
-        values = [F.col(f"newest.{v}").alias(v) for v in self._values]
-        return latest.select(*self.keys, *values).select(*self.schema.names)
+        return self._unpacked(changes.groupBy(*self.keys).agg(newest))
