@@ -290,7 +290,7 @@ def test_compact_windows_hold_every_passage_once():
     rng = np.random.default_rng(6)
     for size in (0, 3, 40, 90):
         values = rng.integers(0, 12, size).astype(np.uint64)
-        found = passages.compact_windows(values, True, 5)
+        found = passages.compact_windows(values, least=5)
         for a in range(size):
             for b in range(a + 5, size + 1):
                 least = values[a:b].min()
@@ -298,6 +298,34 @@ def test_compact_windows_hold_every_passage_once():
                 assert len(holders) >= 1
 
 
+def test_compact_windows_are_the_nodes_of_the_trees():
+    """Every least value with its widest range, by plain search, for texts laid end to end."""
+    rng = np.random.default_rng(16)
+    for top in (3, 20, 1 << 40):
+        texts = [rng.integers(0, top, n).astype(np.uint64) for n in (7, 46, 1, 130, 60)]
+        want, start = set(), 0
+        for values in texts:
+            for c in range(len(values)):
+                left = next((i + 1 for i in range(c, -1, -1) if values[i] < values[c]), 0)
+                right = next((i for i in range(c, len(values)) if values[i] < values[c]), len(values))
+                if right - left >= 6 and values[c] not in values[left:c]:
+                    want.add((start + c, start + left, start + right - 1))
+            start += len(values)
+        starts = np.cumsum([0, *map(len, texts[:-1])])
+        found = passages.compact_windows(np.concatenate(texts), starts, 6)
+        assert len(found) == len(want) and set(found) == want
+
+
+def test_shingle_hashes_follow_the_words(monkeypatch):
+    words = ["Ä", "b", "ab", "ba", "b", "x" * 5000, "ab", "日本", "ba", "c", "ab"] * 3
+    whole = passages.shingles(" \n ".join(words))
+    assert len(whole) == len(words) - 4 and len(set(whole.tolist())) == 11
+    assert (whole == passages.shingles("\t".join(words).lower())).all()
+    monkeypatch.setattr(passages, "BLOCK", 2)
+    assert (whole == passages.shingles(" ".join(words))).all()
+    assert not len(passages.shingles(None)) and not len(passages.shingles("a b c d"))
+
+
 def test_licence_lines(spark):
     docs = docs_of(
         spark, "some words\nLicensed under CC BY-NC 4.0.", "The MIT License is here\nReleased under the MIT License.",
