@@ -55,3 +55,19 @@ def test_parts_of_a_run_cover_brute_force(seed):
     for s in range(len(a) - passages.LEAST_SHINGLES + 1):
         e = s + passages.LEAST_SHINGLES
         assert not same[s:e].all() or any(p[0] <= s and e <= p[1] for p in found)
+
+
+def test_recall_at_the_least_similarity(spark):
+    """Passages of 50 words with one of them edited: 41 of 51 shingles shared."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(80):
+        passage = words_of(rng, 50)
+        edited = list(passage)
+        edited[rng.randint(5, 44)] = "changed"
+        texts += [" ".join(words_of(rng, 40) + x + words_of(rng, 40)) for x in (passage, edited)]
+    rows = list(enumerate(texts))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["first_id"]) for r in got}
+    wanted = {(i + 1, i) for i in range(0, len(texts), 2)}
+    assert found <= wanted and len(found) >= 79
