@@ -1,11 +1,13 @@
 """Cases of the second review: parts of the job that were left out before."""
 
+import base64
+import gzip
 import random
 
 import numpy as np
 import pytest
 
-from tidewell.llm import passages
+from tidewell.llm import passages, secrets
 
 
 def words_of(rng, n):
@@ -71,3 +73,38 @@ def test_recall_at_the_least_similarity(spark):
     found = {(r["doc_id"], r["first_id"]) for r in got}
     wanted = {(i + 1, i) for i in range(0, len(texts), 2)}
     assert found <= wanted and len(found) >= 79
+
+
+SECRET = "password = abcdef0123XYZ9876"
+
+
+def secret_spans(text):
+    return {s for s in secrets.all_spans(text, secrets.finds(text))[0] if s[1] == 0}
+
+
+@pytest.mark.parametrize("mark", ["\u00a0", "\u3000", "\ufeff", "\u200b", "\u2028", "\f", "\0"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_secret_in_a_layer_with_unusual_characters(mark, pack):
+    data = f"some prose{mark}here {SECRET} and more".encode()
+    assert secret_spans(f"a note {base64.b64encode(pack(data)).decode()} .")
+
+
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+@pytest.mark.parametrize("around", [("", ""), ("-----BEGIN DATA-----\n", "-----END DATA-----"), ("text\n", "Other words follow")])
+@pytest.mark.parametrize("filler", [40, 50, 61, 333])
+def test_secret_in_wrapped_base64(pack, around, filler):
+    data = "".join(random.Random(3).choice("bcdfg ") for _ in range(filler)) + SECRET + " and the rest of it" * 5
+    packed = base64.encodebytes(pack(data.encode())).decode()
+    text = around[0] + packed + around[1]
+    spans = secret_spans(text)
+    assert spans
+    if pack is bytes:  # as exact as base64 allows
+        whole = text.replace("\n", "")
+        assert any(text[s:e].replace("\n", "") in whole and e - s < 2 * len(SECRET) for s, _, e in spans)
+
+
+def test_valid_parts_of_escape_runs():
+    run = "".join(f"%{b:02X}" for b in SECRET.encode())
+    assert secret_spans("x %FF" + run) == {(5, 0, 5 + len(run))}
+    units = "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    assert secret_spans("x \\ud800" + units) == {(8, 0, 8 + len(units))}

@@ -44,6 +44,9 @@ ESCAPE = re.compile(
     r"|&\#(?P<ref>[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 )
 BASE64 = re.compile(r"([A-Za-z0-9+/_-]{16,})={0,2}")
+#: Base64 wrapped over lines: the first piece ends its line, the later ones start theirs.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 #: A packed layer that grows beyond this many bytes is not opened; the row counts it in
 #: ``n_refused``, so that one hostile text cannot take a task's memory.
 MOST_UNPACKED = 64 << 20
@@ -71,18 +74,19 @@ def finds(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _characters(data: bytes) -> list[tuple[str, int, int]] | None:
-    """The characters of UTF-8 bytes with the bytes they come from; None if it is no UTF-8."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    out, at = [], 0
-    for c in text:
-        width = len(c.encode("utf-8"))
-        out.append((c, at, at + width))
-        at += width
-    return out
+def _kept(text: str, run: str, step: int, widths: list[int]) -> list[tuple[str, int, int]] | None:
+    """The characters of ``text`` with their part of the run; a lone surrogate stands for escapes
+    that are no text and stay as written. None when nothing could be undone."""
+    out, at, undone = [], 0, False
+    for c, width in zip(text, widths, strict=True):
+        end = at + width * step
+        if 0xD800 <= ord(c) < 0xE000:
+            out += [(run[i], i, i + 1) for i in range(at, end)]
+        else:
+            out.append((c, at, end))
+            undone = True
+        at = end
+    return out if undone else None
 
 
 def _unescaped(m: re.Match) -> list[tuple[str, int, int]] | None:
@@ -90,20 +94,13 @@ def _unescaped(m: re.Match) -> list[tuple[str, int, int]] | None:
     run, kind = m[0], m.lastgroup
     if kind in ("url", "byte"):
         step = 3 if kind == "url" else 4
-        found = _characters(bytes(int(run[i + step - 2 : i + step], 16) for i in range(0, len(run), step)))
-        return found and [(c, a * step, b * step) for c, a, b in found]
+        data = bytes(int(run[i + step - 2 : i + step], 16) for i in range(0, len(run), step))
+        text = data.decode("utf-8", "surrogateescape")
+        return _kept(text, run, step, [len(c.encode("utf-8", "surrogateescape")) for c in text])
     if kind == "uni":
         units = b"".join(int(run[i + 2 : i + 6], 16).to_bytes(2, "little") for i in range(0, len(run), 6))
-        try:
-            text = units.decode("utf-16-le")
-        except UnicodeDecodeError:
-            return None
-        out, at = [], 0
-        for c in text:
-            width = 6 * (1 + (ord(c) > 0xFFFF))
-            out.append((c, at, at + width))
-            at += width
-        return out
+        text = units.decode("utf-16-le", "surrogatepass")
+        return _kept(text, run, 6, [1 + (ord(c) > 0xFFFF) for c in text])
     digits = m["ref"] if kind == "ref" else run[2:].strip("{}")
     value = int(digits, 10) if kind == "ref" and digits[0] not in "xX" else int(digits.lstrip("xX"), 16)
     if value > 0x10FFFF or 0xD800 <= value < 0xE000 or value == 0:
@@ -160,37 +157,62 @@ def _readable(data: bytes) -> str | None:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+    return text or None
+
+
+def _pieces(m: re.Match) -> Iterator[list[tuple[int, int]]]:
+    """Ways to read lines as one base64 run: all of them, or as far as they are equally wide,
+    each also without the first or the last line, which may be other text."""
+    pieces = [(m.start() + p.start(), m.start() + p.end()) for p in PIECE.finditer(m[0])]
+    even, width = 2, pieces[1][1] - pieces[1][0]
+    while even < len(pieces) and pieces[even - 1][1] - pieces[even - 1][0] == width >= pieces[even][1] - pieces[even][0]:
+        even += 1
+    for end in dict.fromkeys((len(pieces), even, len(pieces) - 1, even - 1)):
+        for start in (0, 1):
+            if end - start > 1:
+                yield pieces[start:end]
 
 
 def unwrap(text: str, first: np.ndarray, last: np.ndarray) -> Iterator[tuple | str]:
     """Layers in the base64 runs of a layer; REFUSED for one that is too large to open."""
     for m in BASE64.finditer(text):
-        run = m[1].replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
-            continue
-        a, b = m.start(), m.end()
-        packed = False
-        try:
-            while (opened := _unpacked(data)) is not None:
-                data, packed = opened, True
-        except OverflowError:
-            yield REFUSED
-            continue
-        found = _readable(data)
-        if found is None:
-            continue
-        if packed:  # a packed character stands for the whole run
-            yield found, np.full(len(found), first[a]), np.full(len(found), last[b - 1])
-            continue
-        widths = np.fromiter((len(c.encode("utf-8")) for c in found), np.int64, len(found))
-        ends = np.cumsum(widths)
-        firsts = a + (ends - widths) * 4 // 3
-        lasts = np.minimum(a + ((ends - 1) * 4 // 3) + 1, b - 1)
-        yield found, first[firsts], last[lasts]
+        layer = _opened(m[1], np.arange(m.start(), m.end(1)), m.end(), first, last)
+        if layer is not None:
+            yield layer
+    for m in WRAPPED.finditer(text):
+        for pieces in _pieces(m):
+            at = np.concatenate([np.arange(a, b) for a, b in pieces])
+            run = "".join(text[a:b] for a, b in pieces)
+            layer = _opened(run, at, m.end() if pieces[-1][1] + 2 >= m.end() else pieces[-1][1], first, last)
+            if layer is not None:
+                yield layer
+
+
+def _opened(run: str, at: np.ndarray, end: int, first: np.ndarray, last: np.ndarray) -> tuple | str | None:
+    """The layer of a base64 run whose characters are at the places ``at`` of their layer and
+    that ends, with its padding, before ``end``."""
+    run = run.replace("-", "+").replace("_", "/")
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    try:
+        data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
+    except binascii.Error:
+        return None
+    packed = False
+    try:
+        while (opened := _unpacked(data)) is not None:
+            data, packed = opened, True
+    except OverflowError:
+        return REFUSED
+    found = _readable(data)
+    if found is None:
+        return None
+    if packed:  # a packed character stands for the whole run
+        return found, np.full(len(found), first[at[0]]), np.full(len(found), last[end - 1])
+    widths = np.fromiter((len(c.encode("utf-8")) for c in found), np.int64, len(found))
+    ends = np.cumsum(widths)
+    firsts = at[(ends - widths) * 4 // 3]
+    lasts = np.minimum((ends - 1) * 4 // 3 + 1, len(at) - 1)
+    return found, first[firsts], last[at[lasts]]
 
 
 def all_spans(text: str, base: list[tuple[int, int, int]]):
