@@ -108,3 +108,34 @@ def test_valid_parts_of_escape_runs():
     assert secret_spans("x %FF" + run) == {(5, 0, 5 + len(run))}
     units = "".join(f"\\u{ord(c):04x}" for c in SECRET)
     assert secret_spans("x \\ud800" + units) == {(8, 0, 8 + len(units))}
+
+
+def test_passages_behind_unrelated_first_windows(spark):
+    """The first document of each group shares its least shingle and no more: a round that
+    verifies nothing is not the last."""
+    rng = random.Random(11)
+
+    def least(words):
+        hashes = passages.shingles(" ".join(words))
+        return [int(hashes[passages.ordered(hashes, f).argmin()]) for f in range(passages.FUNCTIONS)]
+
+    def places(words):
+        hashes = passages.shingles(" ".join(words))
+        return [int(passages.ordered(hashes, f).argmin()) for f in range(passages.FUNCTIONS)]
+
+    while True:  # no other window of the text is long enough
+        shared = words_of(rng, 52)
+        if all(6 <= c <= 40 for c in places(shared)):
+            break
+    keep = {i for c in places(shared) for i in range(c, c + passages.WORDS)}
+    while True:
+        decoy = [w if i in keep else f"d{rng.randint(0, 10**6)}" for i, w in enumerate(shared)]
+        if least(decoy) == least(shared):
+            break
+    while True:
+        copies = [shared + words_of(rng, 1) for _ in range(2)]
+        if all(least(c) == least(shared) for c in copies):
+            break
+    rows = list(enumerate(" ".join(words) for words in (decoy, *copies)))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["first_id"]) for r in got] == [(2, 1)]
