@@ -6,6 +6,7 @@ brute-force version.
 """
 
 from tidewell.llm import (
+    conversations,
     decontaminate,
     language,
     licences,
@@ -31,6 +32,7 @@ QUERIES = {
         simhash.op8_simhash,
         licences.op9_licences,
         passages.op10_passages,
+        conversations.op13_conversations,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
