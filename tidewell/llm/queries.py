@@ -1,8 +1,8 @@
 """The named queries of the training-data operators.
 
-None has a SQL twin: decoding layers, tilings, Newton steps, trained models, graphs,
-unsigned hashes and window minima are not SQL; ``tests/llm`` holds each against a plain
-brute-force version.
+Only ranked search has a SQL twin: decoding layers, tilings, Newton steps, trained models, graphs,
+unsigned hashes, window minima and cheapest edits are not SQL; ``tests/llm`` holds each against
+a plain brute-force version.
 """
 
 from tidewell.llm import (
@@ -14,6 +14,7 @@ from tidewell.llm import (
     mixing,
     passages,
     quality,
+    ranking,
     secrets,
     simhash,
     vectors,
@@ -32,7 +33,8 @@ QUERIES = {
         simhash.op8_simhash,
         licences.op9_licences,
         passages.op10_passages,
+        ranking.op11_search,
         conversations.op13_conversations,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_search": ranking.OP11_SQL}
