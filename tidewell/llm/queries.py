@@ -12,6 +12,7 @@ from tidewell.llm import (
     licences,
     lines,
     mixing,
+    pages,
     passages,
     quality,
     ranking,
@@ -34,6 +35,7 @@ QUERIES = {
         licences.op9_licences,
         passages.op10_passages,
         ranking.op11_search,
+        pages.op12_pages,
         conversations.op13_conversations,
     )
 }
