@@ -57,7 +57,7 @@ def corpus(rng, n):
 
 @pytest.fixture
 def small_blocks(monkeypatch):
-    for name, value in {"SHARD_DOCS": 50, "BLOCK_DOCS": 5, "FEW_DOCS": 1, "PIVOTS": 4, "QUERY_CHARS": 300}.items():
+    for name, value in {"SHARD_DOCS": 50, "BLOCK_DOCS": 5, "FEW_DOCS": 1, "PIVOTS": 4, "QUERY_CHARS": 700}.items():
         monkeypatch.setattr(ranking, name, value)
 
 
@@ -84,16 +84,15 @@ def test_summaries_bound_every_score_and_skip_blocks(monkeypatch):
     monkeypatch.setattr(ranking, "FEW_DOCS", 1)
     rng = random.Random(4)
     docs = corpus(rng, 300)
-    rows = [(i, c.total(), [t.decode() for t in c], list(c.values())) for i, c in ((i, ranking.counted(t)) for i, t in docs)]
-    n_terms = sum(r[1] for r in rows)
-    values = ranking.packed(rows, len(rows), n_terms)
-    batch = ranking.pa.RecordBatch.from_arrays(
-        [ranking.pa.array([x], type=f.type) for x, f in zip(values, ranking.SHARD, strict=True)], schema=ranking.SHARD
-    )
-    shard = ranking.Shard(batch, 0)
+    counts = [ranking.counted(t) for _, t in docs]
+    columns = [[i for i, _ in docs], [c.total() for c in counts], [[t.decode() for t in c] for c in counts],
+               [list(c.values()) for c in counts], [0] * len(docs)]
+    rows = ranking.pa.Table.from_batches([ranking.arrow_batch(columns, ranking.VECTOR)])
+    batch = ranking.shard_batch(ranking.packed(rows, len(docs), sum(columns[1])))
+    shard = ranking.Shard(batch.column("shard")[0].as_py())
     weighed = {t: 10 + len(t) for t in ("w0", "w1", "w7", "w30", "the")}
     weights, here, _ = shard.query(weighed)
-    every = shard.scores(np.arange(len(rows)), weights)
+    every = shard.scores(np.arange(len(docs)), weights)
     for term in here:
         for block, bound in zip(*shard.blocks_of(term, weights), strict=True):
             assert every[shard.docs_in([block])].max() <= bound
@@ -103,7 +102,7 @@ def test_summaries_bound_every_score_and_skip_blocks(monkeypatch):
     least = int(np.sort(every)[-5])
     best = shard.best(weighed, 5, least)
     assert [s for _, s in best] == np.sort(every)[::-1][:5].tolist()
-    assert scored[0] < len(rows) // 2
+    assert scored[0] < len(docs) // 2
 
 
 def test_index_of_all_terms_serves_any_query(spark, small_blocks):

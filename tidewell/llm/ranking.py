@@ -1,7 +1,7 @@
 """Ranked lexical search over posting lists cut into geometric blocks.
 
 Every document is a vector of term contributions. Documents are dealt by similarity (the
-nearest of a few pivots, by 64-bit sign sketches) into shards of at most ``SHARD_DOCS``; inside a
+nearest of a few pivots, by 64-bit sign sketches) into shards of about ``SHARD_DOCS``; inside a
 shard the posting list of each term is clustered by the similarity of its documents and cut
 into blocks of at most ``BLOCK_DOCS``. A block keeps its documents and a summary: for each
 coordinate the largest contribution among them. A query times a summary bounds every score in the
@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,11 +32,12 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import arrow_batch, slices, table
 from tidewell.scratch import scratch_dir, written
 
-SHARD_DOCS = 4096
-#: A shard also ends when its vectors hold so many coordinates.
-SHARD_ENTRIES = 1 << 19
-SHARDS_A_FILE = 4
-BLOCK_DOCS = 256
+SHARD_DOCS = 1024
+#: A shard also ends after its vectors hold so many coordinates.
+SHARD_ENTRIES = 1 << 17
+#: Shards in a row group of the index.
+SHARDS_AT_ONCE = 2
+BLOCK_DOCS = 128
 #: Blocks of so many documents have no summary and are always scored.
 FEW_DOCS = 16
 #: Documents whose sketches serve as pivots, a bounded sample chosen by hash.
@@ -116,10 +118,9 @@ SHARD = pa.schema(
      ("vals", INTS), ("list_ptr", INTS), ("block_ptr", INTS), ("block_docs", INTS), ("sum_ptr", INTS),
      ("sum_cols", INTS), ("sum_vals", INTS)]
 )
-SHARD_DDL = ", ".join(
-    f"{f.name} array<{'string' if f.type.value_type == pa.string() else 'long' if f.type == LONGS else 'int'}>"
-    for f in SHARD
-)
+#: A row of the index: the terms, the lengths of their lists, and the shard as a compressed Arrow stream.
+ROW = pa.schema([("terms", pa.list_(pa.string())), ("list_len", INTS), ("shard", pa.binary())])
+ROW_DDL = "terms array<string>, list_len array<int>, shard binary"
 
 
 def _starts(lengths: np.ndarray) -> np.ndarray:
@@ -140,23 +141,25 @@ def _clustered(docs: np.ndarray, sketches: np.ndarray) -> list[np.ndarray]:
     return blocks
 
 
-def packed(docs: list[tuple], n_docs: int, n_terms: int) -> tuple:
-    """A shard of (doc_id, n, terms, tfs): vectors, blocks and summaries as flat arrays."""
-    words = sorted({t for _, _, terms, _ in docs for t in terms})
-    number = {t: i for i, t in enumerate(words)}
-    lengths = np.array([len(d[2]) for d in docs])
+def packed(docs: pa.Table, n_docs: int, n_terms: int) -> tuple:
+    """A shard of rows of ``VECTOR``: vectors, blocks and summaries as flat arrays."""
+    docs = docs.combine_chunks()
+    terms = docs.column("terms").combine_chunks()
+    coded = terms.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    lengths = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64)
     row_ptr = _starts(lengths)
-    cols = np.array([number[t] for d in docs for t in d[2]], np.int64)
-    tfs = np.array([tf for d in docs for tf in d[3]], np.int64)
-    m = 75 + 25 * np.array([d[1] for d in docs], np.int64) * n_docs // n_terms
+    cols = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    tfs = docs.column("tfs").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    m = 75 + 25 * docs.column("n").to_numpy() * n_docs // n_terms
     vals = 1_000_000_000 * tfs // (1000 * tfs + 12 * np.repeat(m, lengths))
-    rows = np.repeat(np.arange(len(docs)), lengths)
+    rows = np.repeat(np.arange(len(lengths)), lengths)
     # Unit vectors of signed sums, for clustering only.
-    sketches = np.zeros((len(docs), 64), np.float32)
+    sketches = np.zeros((len(lengths), 64), np.float32)
     if words:
         signs = _signs([t.encode() for t in words]).astype(np.float32)
-        for start in range(0, len(docs), 256):
-            stop = min(start + 256, len(docs))
+        for start in range(0, len(lengths), 256):
+            stop = min(start + 256, len(lengths))
             a, b = row_ptr[start], row_ptr[stop]
             busy = lengths[start:stop] > 0
             sums = np.add.reduceat(signs[cols[a:b]] * vals[a:b, None], row_ptr[start:stop][busy] - a, axis=0)
@@ -174,7 +177,7 @@ def packed(docs: list[tuple], n_docs: int, n_terms: int) -> tuple:
         list_ptr.append(len(blocks))
     none = [np.zeros(0, np.int32)]
     return (
-        [d[0] for d in docs], words, list_len, row_ptr, cols, vals, list_ptr,
+        docs.column("doc_id").combine_chunks(), words, list_len, row_ptr, cols, vals, list_ptr,
         _starts([len(b) for b in blocks]), np.concatenate(blocks or none),
         _starts([len(s[0]) for s in summaries]),
         np.concatenate([s[0] for s in summaries] or none), np.concatenate([s[1] for s in summaries] or none),
@@ -199,27 +202,36 @@ def _summary(docs: np.ndarray, row_ptr: np.ndarray, cols: np.ndarray, vals: np.n
 
 
 def _shards(n_docs: int, n_terms: int):
-    def pack(docs):
-        out = packed(docs, n_docs, n_terms)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x], type=f.type) for x, f in zip(out, SHARD, strict=True)], schema=SHARD
-        )
+    def pack(held):
+        return shard_batch(packed(pa.Table.from_batches(held), n_docs, n_terms))
 
     def run(batches):
-        held, entries = [], 0
-        for batch in slices(batches):
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                held.append(row)
-                entries += len(row[2])
-                if len(held) == SHARD_DOCS or entries >= SHARD_ENTRIES:
-                    yield pack(held)
-                    held, entries = [], 0
+        held, docs, entries = [], 0, 0
+        for batch in slices(batches, SHARD_DOCS // 16):
+            held.append(batch)
+            docs += batch.num_rows
+            entries += len(batch.column("terms").flatten())
+            if docs >= SHARD_DOCS or entries >= SHARD_ENTRIES:
+                yield pack(held)
+                held, docs, entries = [], 0, 0
         if held:
             yield pack(held)
 
     return run
 
 
+def shard_batch(shard: tuple) -> pa.RecordBatch:
+    """A row of the index."""
+    columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, type=f.type.value_type))
+               for x, f in zip(shard, SHARD, strict=True)]
+    stream = pa.BufferOutputStream()
+    with pa.ipc.new_stream(stream, SHARD, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=SHARD))
+    named = dict(zip(SHARD.names, columns, strict=True))
+    packed_ = pa.array([stream.getvalue().to_pybytes()], pa.binary())
+    return pa.RecordBatch.from_arrays([named["terms"], named["list_len"], packed_], schema=ROW)
+
+
 def build_index(
     docs: DataFrame, wanted: Iterable[bytes] | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> Index:
@@ -236,25 +248,25 @@ def build_index(
     vectors = written(narrow.mapInArrow(_vectors(wanted), VECTOR_DDL).where("n > 0"), "ranking-vectors")
     n_docs, n_terms = vectors.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if not n_docs:
-        return Index(spark.createDataFrame([], SHARD_DDL), 0, 0)
+        return Index(spark.createDataFrame([], ROW_DDL), 0, 0)
     filled = vectors.where(F.size("terms") > 0)
     chosen = filled.select("sketch", F.xxhash64("sketch").alias("h")).distinct().orderBy("h").limit(PIVOTS)
     pivots = [r.sketch for r in chosen.collect()]
     near = [F.struct(F.bit_count(F.col("sketch").bitwiseXOR(F.lit(p))).alias("far"), F.lit(i).alias("pivot"))
             for i, p in enumerate(pivots)]
     if not near:
-        return Index(spark.createDataFrame([], SHARD_DDL), n_docs, n_terms)
+        return Index(spark.createDataFrame([], ROW_DDL), n_docs, n_terms)
     place = F.least(*near) if len(near) > 1 else near[0]
     keyed = filled.select(
         "doc_id", "n", "terms", "tfs", place["pivot"].alias("pivot"), "sketch", F.xxhash64("doc_id", "n").alias("h")
     )
     keys = ["pivot", "sketch", "h"]
     dealt = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys)
-    # A reader takes many rows of a file at one time, and a row is a whole shard.
+    # A reader takes a row group of a file at one time, and a row is a whole shard.
     path = scratch_dir(spark, "ranking-index")
-    shards = dealt.mapInArrow(_shards(n_docs, n_terms), SHARD_DDL)
-    shards.write.option("compression", "zstd").option("maxRecordsPerFile", SHARDS_A_FILE).parquet(path)
-    return Index(spark.read.schema(SHARD_DDL).parquet(path), n_docs, n_terms)
+    shards = dealt.mapInArrow(_shards(n_docs, n_terms), ROW_DDL)
+    shards.write.option("parquet.block.row.count.limit", SHARDS_AT_ONCE).parquet(path)
+    return Index(spark.read.schema(ROW_DDL).parquet(path), n_docs, n_terms)
 
 
 # -- searching ------------------------------------------------------------------------------
@@ -263,17 +275,17 @@ def build_index(
 class Shard:
     """One row of the index."""
 
-    def __init__(self, batch: pa.RecordBatch, at: int):
-        flat = {}
+    def __init__(self, packed_: bytes):
+        batch, at, flat = pa.ipc.open_stream(packed_).read_next_batch(), 0, {}
         for i, field in enumerate(SHARD):
             values = batch.column(i)[at].values
             if field.name not in ("doc_ids", "terms"):
-                flat[field.name] = values.to_numpy(zero_copy_only=False).astype(np.int64)
+                flat[field.name] = values.to_numpy()
         self.__dict__ |= flat
         self.doc_ids = batch.column(0)[at].values
         self.number = {t: i for i, t in enumerate(batch.column(1)[at].values.to_pylist())}
         self.most = np.zeros(len(self.number), np.int64)
-        np.maximum.at(self.most, self.cols, self.vals)
+        np.maximum.at(self.most, self.cols, self.vals.astype(np.int64))
 
     def blocks_of(self, term: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the blocks of a list and the bounds of their scores."""
@@ -340,8 +352,8 @@ def _first(queries: list[tuple[int, dict[str, int]]], k: int):
 
     def run(batches):
         for batch in batches:
-            for at in range(batch.num_rows):
-                shard = Shard(batch, at)
+            for packed_ in batch.column("shard"):
+                shard = Shard(packed_.as_py())
                 rows = [(q, s) for q, weighed in queries for s in shard.first(weighed, k).tolist()]
                 if rows:
                     yield arrow_batch(list(zip(*rows, strict=True)), schema)
@@ -354,8 +366,8 @@ def _best(queries: list[tuple[int, dict[str, int]]], k: int, least: dict[int, in
 
     def run(batches):
         for batch in batches:
-            for at in range(batch.num_rows):
-                shard = Shard(batch, at)
+            for packed_ in batch.column("shard"):
+                shard = Shard(packed_.as_py())
                 rows = [(q, *hit) for q, weighed in queries for hit in shard.best(weighed, k, least.get(q, 0))]
                 if rows:
                     yield arrow_batch(list(zip(*rows, strict=True)), schema)
@@ -389,10 +401,10 @@ def search(index: Index, queries: list[str | None], k: int = BEST) -> DataFrame:
     if not asked:
         return spark.createDataFrame([], "query int, rank int, doc_id long, score long")
     by_score = Window.partitionBy("query").orderBy(F.desc("score"))
-    first = index.rows.mapInArrow(_first(asked, k), "query int, score long")
+    first = index.rows.select("shard").mapInArrow(_first(asked, k), "query int, score long")
     kth = first.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).groupBy("query")
     least = {r.query: r.score for r in kth.agg(F.min("score").alias("score"), F.count("*").alias("n")).collect() if r.n == k}
-    found = index.rows.mapInArrow(_best(asked, k, least), "query int, doc_id long, score long")
+    found = index.rows.select("shard").mapInArrow(_best(asked, k, least), "query int, doc_id long, score long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     ranked_ = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked_.select("query", "rank", "doc_id", "score")
