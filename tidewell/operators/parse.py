@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.clock import to_wall_time
 from tidewell.functions.text import (
     contains,
     has_fields,
@@ -14,7 +15,6 @@ from tidewell.functions.text import (
     strip_all,
     to_decimal,
     to_int,
-    to_time,
 )
 
 
@@ -103,19 +103,26 @@ def parse_call_record(lines: DataFrame) -> DataFrame:
     return cut.select(*[part("parts", i).alias(n) for i, n in enumerate(names)])
 
 
+def _exactly(parts: Column, lines: DataFrame, n: int) -> DataFrame:
+    """Lines cut into exactly ``n`` parts. A filter on the parts would cut every line once more."""
+    cut = lines.select(parts.alias("all"))
+    whole = F.when(F.size("all") == n, F.array(F.col("all")))
+    return cut.select(F.explode(whole).alias("parts"))
+
+
 def parse_timed_words(lines: DataFrame) -> DataFrame:
-    """``time,word word`` lines to one (time, word) row per word."""
-    two = lines.where(has_fields("value", 2)).select(split_on("value", ",").alias("parts"))
+    """``time,word word`` lines to one (time, word) row per word. Times are wall-clock times."""
+    two = _exactly(split_on("value", ","), lines, 2)
     return two.select(
-        to_time(part("parts", 0)).alias("time"),
+        to_wall_time(part("parts", 0)).alias("time"),
         F.explode_outer(split_on(part("parts", 1), " ")).alias("word"),
     )
 
 
 def parse_word_time(lines: DataFrame) -> DataFrame:
-    """``word,time`` lines to (word, time) rows."""
-    two = lines.where(has_fields("value", 2)).select(split_on("value", ",").alias("parts"))
+    """``word,time`` lines to (word, time) rows. Times are wall-clock times."""
+    two = _exactly(split_on("value", ","), lines, 2)
     return two.select(
         part("parts", 0).alias("word"),
-        to_time(strip_all(part("parts", 1))).alias("time"),
+        to_wall_time(strip_all(part("parts", 1))).alias("time"),
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.clock import instant_to_wall, wall_to_instant
+
 
 def window_counts(
     events: DataFrame,
@@ -19,11 +21,13 @@ def window_counts(
     """Count per window and key: (window_start, window_end, key, count).
 
     With ``watermark`` rows later than that are dropped and closed windows leave
-    the state. ``ordered`` sorts by window, ascending (streams: complete mode).
+    the state. ``ordered`` sorts by window, ascending (streams: complete mode). Wall-clock times
+    (TIMESTAMP_NTZ) have wall-clock windows, which no zone's clock change touches.
     """
-    if watermark is not None and dict(events.dtypes)[time] == "timestamp_ntz":
-        # Only watermarks need TIMESTAMP; windows of wall-clock times know no clock change.
-        events = events.withColumn(time, F.col(time).cast("timestamp"))
+    wall = dict(events.dtypes)[time] == "timestamp_ntz" and watermark is not None
+    if wall:
+        # Only watermarks need TIMESTAMP.
+        events = events.withColumn(time, wall_to_instant(time))
     if watermark is not None:
         events = events.withWatermark(time, watermark)
     counts = events.groupBy(F.window(time, width, slide), key).agg(
@@ -31,12 +35,9 @@ def window_counts(
     )
     if ordered:
         counts = counts.orderBy("window")
-    return counts.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        key,
-        "count",
-    )
+    ends = [F.col("window.start"), F.col("window.end")]
+    start, end = map(instant_to_wall, ends) if wall else ends
+    return counts.select(start.alias("window_start"), end.alias("window_end"), key, "count")
 
 
 def local_times(frame: DataFrame, *columns: str) -> DataFrame:
