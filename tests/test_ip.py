@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidewell import schemas
 from tidewell.functions.ip import ip_to_long, is_ip, long_to_ip, unsigned
 from tidewell.functions.udfs import region_udf
+from tidewell.operators import ip_region
 from tidewell.operators.ip_region import DENSE_RANGES, add_region, build_index, place_totals
+from tidewell.scratch import written
 
 
 def test_address_text(lines_of):
@@ -159,6 +161,50 @@ def test_place_totals_agree_on_both_paths(lookup_case, spark):
     assert totals(1 << 30) == totals(0)
 
 
+@pytest.mark.parametrize("hot", ["one address", "one network"])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_a_heavy_network_stays_in_its_tasks(lookup_case, spark, monkeypatch, hot, limit):
+    """A network with most of the rows, from one input partition, is not shuffled at all."""
+    monkeypatch.setattr(ip_region, "HEAVY_ROWS", 1000)
+    monkeypatch.setattr(ip_region, "HEAVY_BYTES", limit)
+    ranges, facts, want = lookup_case
+    low = next(r.ip_start for r in ranges.orderBy("ip_start").collect() if r.ip_end > r.ip_start + 200)
+    numbers = [low + (i % 200 if hot == "one network" else 0) for i in range(3000)]
+    texts = [str(ipaddress.ip_address(n)) for n in numbers]
+    rows = spark.createDataFrame([(t,) for t in texts], "ip string").unionByName(facts)
+    rows = written(rows.coalesce(1), "heavy-network")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        index = build_index(ranges, broadcast_limit=0)
+        found = add_region(rows, index)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("Union" in plan) is bool(limit)
+        sizes = found.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    if limit:
+        # The heavy rows stay in the partition they came from; the others are dealt out.
+        assert max(r["count"] for r in sizes) >= 3000 and len(sizes) > 2
+    known = [tuple(r) for r in ranges.collect()]
+    more = [(t, *brute(known, n)) for t, n in zip(texts, numbers, strict=True)]
+    assert in_order(tuples(found)) == in_order(more + want)
+
+
+def test_no_heavy_bucket_no_second_join(lookup_case):
+    ranges, facts, _ = lookup_case
+    found = add_region(facts, build_index(ranges, broadcast_limit=0))
+    assert "Union" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["decimal(10,2)", "int", "double"])
+def test_place_totals_has_one_type(lookup_case, kind):
+    ranges, facts, _ = lookup_case
+    orders = facts.withColumn("money", F.lit("2").cast(kind))
+    schemas_ = {place_totals(orders, build_index(ranges, broadcast_limit=n)).schema.simpleString() for n in (0, 1 << 30)}
+    total = {"decimal(10,2)": "decimal(20,2)", "int": "bigint", "double": "double"}[kind]
+    assert schemas_ == {f"struct<province:int,city:int,money:{total}>"}
+
+
 def test_region_udf(lookup_case, spark):
     ranges, facts, want = lookup_case
     lookup = region_udf([(r[0], r[1], r[3], r[4]) for r in ranges.collect()])

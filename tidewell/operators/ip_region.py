@@ -18,10 +18,17 @@ from tidewell.scratch import written
 
 DENSE_RANGES = 64
 BROADCAST_BYTES = 128 << 20
+# Buckets with a larger share of the rows than one in so many are looked up without a shuffle, if
+# they have so many rows at least and their ranges are no larger than that.
+HEAVY_BUCKETS = 1024
+HEAVY_ROWS = 100_000
+HEAVY_BYTES = 32 << 20
 # A joined row besides its region text: bucket, two ends, province, city, overhead.
 _ROW_BYTES = 64
 # /24 bucket numbers start above the /16 ones.
 _FINE_BASE = 1 << 16
+# Negative buckets of one input partition.
+_SPREAD = 32
 
 
 @dataclass(frozen=True)
@@ -125,6 +132,7 @@ def add_region(
     index: RangeIndex,
     address: Column | str = "ip",
     *,
+    split_heavy: bool = True,
     salts: int = 32,
 ) -> DataFrame:
     """Add ``region``, ``province`` and ``city`` of the address in ``address``.
@@ -132,7 +140,11 @@ def add_region(
     Text is read as a dotted quad; pass a number column for numbers. Unknown and
     invalid addresses get the region ``""`` and NULL province and city. The
     index is broadcast when its measured size allows; otherwise both sides are
-    shuffled on the bucket and ``salts`` parts of every bucket.
+    shuffled on the bucket. Before that the rows of each bucket are counted (the address is
+    read once more), and the few buckets with a large share of all rows stay where they are
+    and are looked up in a broadcast of their ranges only. ``split_heavy=False`` leaves
+    the count out, where no bucket can be large. A stream cannot be counted: there ``salts``
+    parts of every bucket are made, by input partition.
     """
     c = F.col(address) if isinstance(address, str) else address
     kept = frame.columns
@@ -146,27 +158,55 @@ def add_region(
                                .otherwise(F.col("_bucket")))
     right = index.rows.withColumnRenamed("_bucket", "_range_bucket")
     inside = F.col("_ip").between(F.col("ip_start"), F.col("ip_end"))
-    matches = (F.col("_bucket") == F.col("_range_bucket")) & inside
+    same = F.col("_bucket") == F.col("_range_bucket")
+    place = ["region", "province", "city"]
     if index.fits_broadcast:
-        right = F.broadcast(right)
-    else:
-        # The partition number is a salt that stays the same when a task is redone.
-        # Rows without an address go to negative buckets, spread over all tasks.
-        task = F.spark_partition_id().cast("bigint")
-        left = left.withColumn("_salt", task % salts).withColumn(
-            "_bucket", F.coalesce("_bucket", -1 - task)
-        )
-        every = F.array(*[F.lit(n).cast("bigint") for n in range(salts)])
-        # The hint keeps the planner, which cannot foresee how far ranges
-        # spread over buckets, from broadcasting what was measured as too large.
-        right = right.withColumn("_range_salt", F.explode(every)).hint("merge")
-        matches = matches & (F.col("_salt") == F.col("_range_salt"))
-    return left.join(right, matches, "left").select(
-        *kept,
-        F.coalesce(F.col("region"), F.lit("")).alias("region"),
-        F.col("province"),
-        F.col("city"),
-    )
+        found = left.join(F.broadcast(right), same & inside, "left")
+        return found.select(*kept, F.coalesce("region", F.lit("")).alias("region"), *place[1:])
+    if frame.isStreaming:
+        left = left.withColumn("_salt", F.spark_partition_id() % salts)
+        every = F.array(*[F.lit(n) for n in range(salts)])
+        right = right.withColumn("_range_salt", F.explode(every))
+        same = same & (F.col("_salt") == F.col("_range_salt"))
+    heavy = [] if frame.isStreaming or not split_heavy else _heavy_buckets(left, index)
+    out = None
+    if heavy:
+        here = F.col("_bucket").isin(heavy)
+        few = F.broadcast(right.where(F.col("_range_bucket").isin(heavy)))
+        out = left.where(here).join(few, same & inside, "left").select(*kept, *place)
+        left = left.where(~here | F.col("_bucket").isNull())
+    # Rows without an address go to negative buckets. Their number depends on the row and its
+    # partition only, so it stays the same when a task is redone.
+    hashed = [F.col(n) for n, t in frame.dtypes if "map<" not in t and t != "variant"]
+    spread = -1 - (F.spark_partition_id().cast("bigint") * _SPREAD + F.pmod(F.hash(*hashed), F.lit(_SPREAD)))
+    left = left.withColumn("_bucket", F.coalesce("_bucket", spread))
+    # The hint keeps the planner, which cannot foresee how far ranges
+    # spread over buckets, from broadcasting what was measured as too large.
+    found = left.join(right.hint("merge"), same & inside, "left").select(*kept, *place)
+    found = found if out is None else found.unionByName(out)
+    return found.select(*kept, F.coalesce("region", F.lit("")).alias("region"), *place[1:])
+
+
+def _heavy_buckets(left: DataFrame, index: RangeIndex) -> list[int]:
+    """Buckets with more than one in ``HEAVY_BUCKETS`` of all rows, fewer than that many, as far as
+    their ranges fit a broadcast of ``HEAVY_BYTES``; the largest first."""
+    counts = left.where("_bucket IS NOT NULL").groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts, "bucket-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    least = max(HEAVY_ROWS, total // HEAVY_BUCKETS)
+    heavy = {r._bucket: r.n for r in counts.where(F.col("n") > least).collect()}
+    if not heavy:
+        return []
+    ranges = index.rows.where(F.col("_bucket").isin(list(heavy)))
+    size = F.count(F.lit(1)) * _ROW_BYTES + F.sum(F.octet_length("region"))
+    sizes = {r[0]: r[1] for r in ranges.groupBy("_bucket").agg(size).collect()}
+    out, held = [], 0
+    for bucket in sorted(heavy, key=lambda b: (-heavy[b], b)):
+        held += sizes.get(bucket, 0)
+        if held > HEAVY_BYTES:
+            break
+        out.append(bucket)
+    return out
 
 
 def place_totals(
@@ -176,10 +216,10 @@ def place_totals(
 
     With a broadcast index this is a plain lookup. With a shuffled one values
     are summed per address first: a bucket then holds at most 65,536 rows,
-    however many orders one address or network has.
+    however many orders one address or network has. Either way ``value`` has the type of a sum.
     """
+    sum_type = orders.agg(F.sum(value)).schema[0].dataType
     if not index.fits_broadcast and not orders.isStreaming:
         orders = orders.groupBy(address).agg(F.sum(value).alias(value))
-    return add_region(orders.select(address, value), index, address).select(
-        "province", "city", value
-    )
+    orders = orders.select(address, F.col(value).cast(sum_type).alias(value))
+    return add_region(orders, index, address, split_heavy=False).select("province", "city", value)

@@ -54,8 +54,8 @@ FROM placed GROUP BY province
 
 @register("order_by_region", ORDER_BY_PROVINCE_SQL)
 def order_by_region(spark, folder):
-    totals = aggregate.total_by(_placed(spark, folder), "province", "money", "totalMoney")
-    totals = totals.withColumn("totalMoney", F.col("totalMoney").cast(TOTAL_TYPE))
+    placed = _placed(spark, folder)
+    totals = aggregate.total_by(placed, "province", "money", "totalMoney", as_type=TOTAL_TYPE)
     return totals.withColumnRenamed("province", "type")
 
 
@@ -64,8 +64,7 @@ def order_by_region_shuffled(spark, folder):
     """The same as it runs when the range table is too large to broadcast."""
     ranges = lines.nation_ranges(files.read_table(spark, folder, "nation"))
     placed = place_totals(valid_orders(spark, folder), build_index(ranges, broadcast_limit=0))
-    totals = aggregate.total_by(placed, "province", "money", "totalMoney")
-    totals = totals.withColumn("totalMoney", F.col("totalMoney").cast(TOTAL_TYPE))
+    totals = aggregate.total_by(placed, "province", "money", "totalMoney", as_type=TOTAL_TYPE)
     return totals.withColumnRenamed("province", "type")
 
 
@@ -78,9 +77,8 @@ FROM placed WHERE city IN (20, 30) GROUP BY city
 )
 def order_by_city_subset(spark, folder):
     totals = aggregate.total_by_chosen(
-        _placed(spark, folder), "city", CHOSEN_CITIES, "money", "totalMoney"
+        _placed(spark, folder), "city", CHOSEN_CITIES, "money", "totalMoney", as_type=TOTAL_TYPE
     )
-    totals = totals.withColumn("totalMoney", F.col("totalMoney").cast(TOTAL_TYPE))
     return totals.withColumnRenamed("city", "type")
 
 
@@ -125,13 +123,9 @@ FROM placed GROUP BY region, province, city
 def order_regions_shuffled(spark, folder):
     """The lookup as it runs when the range table is too large to broadcast."""
     ranges = lines.nation_ranges(files.read_table(spark, folder, "nation"))
-    # Summed per address first: a bucket then has 65,536 rows at most.
-    per_address = valid_orders(spark, folder).groupBy("ip").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("money").alias("money")
-    )
-    placed = add_region(per_address, build_index(ranges, broadcast_limit=0), salts=8)
+    placed = add_region(valid_orders(spark, folder), build_index(ranges, broadcast_limit=0))
     return placed.groupBy("region", "province", "city").agg(
-        F.sum("orders").alias("orders"), F.sum("money").cast(TOTAL_TYPE).alias("money")
+        F.count(F.lit(1)).alias("orders"), F.sum("money").cast(TOTAL_TYPE).alias("money")
     )
 
 
