@@ -100,6 +100,81 @@ def test_upsert_keeps_null_values_and_null_keys(spark, table):
     assert content(t, spark) == {None: 1, "a": None}
 
 
+def bucket_folders(t, part):
+    return {str(p.relative_to(Path(t.path) / part / "generation=0")) for p in (Path(t.path) / part).rglob("bucket=*")}
+
+
+def test_a_fold_rewrites_changed_buckets_only(spark, table):
+    t = table(keys=["word"], fold_every=2, buckets=100)
+    words = [f"w{n}" for n in range(2000)]
+    t.upsert(spark.createDataFrame([(w, 0) for w in words], WORD_COUNT), 0)
+    t.upsert(spark.createDataFrame([(w, 1) for w in words], WORD_COUNT), 1)
+    assert len(bucket_folders(t, "fold")) == 100
+    want = dict.fromkeys(words, 1)
+    for epoch in range(2, 8):
+        t.upsert(spark.createDataFrame([("w7", epoch)], WORD_COUNT), epoch)
+        want["w7"] = epoch
+        assert content(t, spark) == want
+    # One hundredth of the buckets was written by each later fold.
+    written = [f for f in bucket_folders(t, "fold") if not f.startswith("epoch=1/")]
+    assert {len([f for f in written if f.startswith(f"epoch={e}/")]) for e in (5, 7)} == {1}
+    assert not [f for f in written if f.startswith("epoch=3/")]
+
+
+def test_buckets_without_changes_are_not_regrouped(spark, table):
+    t = table(keys=["word"], fold_every=2, buckets=50)
+    for epoch in range(2):
+        t.upsert(spark.createDataFrame([(f"w{n}", n) for n in range(500)], WORD_COUNT), epoch)
+    t.upsert(spark.createDataFrame([("w3", 9), (None, 1)], WORD_COUNT), 2)
+    plan = t.read(spark)._jdf.queryExecution().optimizedPlan().toString()
+    changed, rest = plan.split("\n+- ")
+    assert "Aggregate" in changed and "Aggregate" not in rest and "Repartition" not in rest
+    assert content(t, spark) == {f"w{n}": n for n in range(500)} | {"w3": 9, None: 1}
+
+
+def test_reopened_table_keeps_its_buckets(spark, table, counts):
+    first = table(keys=["word"], buckets=3, fold_every=2)
+    first.upsert(counts(a=1, b=1, c=1), 0)
+    second = EpochTable(first.path, WORD_COUNT, keys=["word"], buckets=50, fold_every=2)
+    second.upsert(counts(a=2, d=1), 1)
+    second.upsert(counts(b=3), 2)
+    assert content(second, spark) == {"a": 2, "b": 3, "c": 1, "d": 1}
+    assert {f.split("=")[-1] for f in bucket_folders(second, "data") | bucket_folders(second, "fold")} <= {"0", "1", "2"}
+
+
+def test_upsert_takes_the_newest_of_one_key(spark, tmp_path):
+    schema = "word string, at int, count long"
+    rows = spark.createDataFrame([("a", 2, 1), ("a", 1, 9), ("b", 1, 1), ("b", None, 7)], schema)
+    t = EpochTable(str(tmp_path / "t"), rows.schema, keys=["word"], newest="at")
+    t.upsert(rows, 0)
+    assert sorted(tuples(t.read(spark))) == [("a", 2, 1), ("b", 1, 1)]
+    by_count = EpochTable(str(tmp_path / "u"), rows.schema, keys=["word"], newest="count")
+    by_count.upsert(rows, 0)
+    assert sorted(tuples(by_count.read(spark)), key=repr) == [("a", 1, 9), ("b", None, 7)]
+
+
+def test_zero_keys_are_one_key(spark, tmp_path):
+    rows = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "x double, n int")
+    t = EpochTable(str(tmp_path / "t"), rows.schema, keys=["x"])
+    t.upsert(rows, 0)
+    assert tuples(t.read(spark)) == [(0.0, 2)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_ordered_table_is_read_in_order_without_a_sort(spark, tmp_path, n):
+    t = EpochTable(str(tmp_path / "t"), WORD_COUNT, ordered=True)
+    # The largest file is the last one, which a plain scan would read first.
+    frame = spark.range(n).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("word"), "id")
+    frame = frame.withColumnRenamed("id", "count").repartitionByRange(6, F.expr("cast(sqrt(count) as int)"), "word")
+    for epoch in range(2):
+        t.replace(frame.sortWithinPartitions("word"), epoch)
+    read = t.read(spark)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    assert n < 5000 or plan.count("Scan parquet") == 6
+    assert [r[1] for r in tuples(read)] == list(range(n))
+
+
 def test_upsert_needs_keys(table, counts):
     with pytest.raises(ValueError):
         table().upsert(counts(a=1), 0)

@@ -44,3 +44,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; a missing one is fine."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, without hidden files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in found]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
