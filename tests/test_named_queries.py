@@ -28,7 +28,21 @@ def test_equals_sql(spark, db, name):
     assert rows_of(frame.columns, [tuple(r) for r in frame.collect()]) == want
 
 
-@pytest.mark.parametrize("name", ["log_top_day", "per_batch_count", "window_closed_stream"])
+IN_ANOTHER_ZONE = [
+    "log_top_day",
+    "per_batch_count",
+    "event_words",
+    "window_counts",
+    "window_counts_stream",
+    "window_watermark_stream",
+    "window_late_stream",
+    "window_closed_stream",
+    "group_pause_pandas",
+    "stream_group_median",
+]
+
+
+@pytest.mark.parametrize("name", IN_ANOTHER_ZONE)
 def test_equals_sql_in_another_zone(spark, db, name):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

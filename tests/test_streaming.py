@@ -279,12 +279,51 @@ def test_ingest_time(spark, landing, place):
     assert seen[0][1] == seen[1][1] is not None
 
 
-def test_slices_cover_everything(spark):
+def test_slices_begin_with_the_minute_after_a_third(spark):
+    """Ten rows of equal size, two a minute: a third of them ends within the second minute."""
     events = spark.range(10).select(
-        F.timestamp_micros(F.col("id") * 7 + 5).cast("timestamp_ntz").alias("ts")
-    )
-    cuts = stream_queries._slice_bounds(events, 3)
-    micros = [(c - datetime(1970, 1, 1)).microseconds for c in cuts]
-    want = [min(t for t in range(5, 69) if (t - 5) * 3 // 64 == k) for k in (1, 2)]
-    assert micros == want
-    assert stream_queries._slice_bounds(events.where("false"), 3) == []
+        (F.lit("2024-03-10 01:58:00").cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") * 30)).alias("ts"),
+        F.lit("a").alias("event_type"),
+        F.lit("b").alias("props"),
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        cuts = stream_queries.slice_starts(events)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert cuts == ["2024-03-10 01:58", "2024-03-10 02:00", "2024-03-10 02:02"]
+    assert stream_queries.slice_starts(events.where("false")) == []
+
+
+def test_slices_are_bounded_by_bytes(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    events = files.read_table(spark, folder, "events")
+    row_bytes = F.expr(stream_queries.ROW_BYTES)
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp_ntz"))
+    most = events.groupBy(minute).agg(F.sum(row_bytes).alias("bytes")).agg(F.max("bytes")).first()[0]
+    for limit in (5_000, 10**9):
+        monkeypatch.setattr(stream_queries, "SLICE_BYTES", limit)
+        landed = []
+
+        def to_lines(part):
+            landed.append(part.agg(F.sum(row_bytes), F.count("*"), F.min("ts"), F.max("ts")).first())
+            return part.select(F.col("event_type").alias("value"))
+
+        stream_queries._arrivals(spark, folder, to_lines, lambda stream: None)
+        assert sum(x[1] for x in landed) == events.count()
+        assert all(a[3] < b[2] for a, b in zip(landed, landed[1:]))
+        assert len(landed) == 3 if limit > 5_000 else len(landed) > 5
+        assert max(x[0] for x in landed) <= limit + most
+
+
+def test_ordered_streams_are_read_in_order(spark):
+    folder = "/root/testdata/sf0.01"
+    scores = stream_queries.stream_score_board(spark, folder)
+    windows = stream_queries.window_counts_stream(spark, folder)
+    for frame, column in ((scores, "score"), (windows, "window_start")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "Exchange" not in plan
+        found = [r[column] for r in frame.collect()]
+        assert len(found) > 20 and found == sorted(found)

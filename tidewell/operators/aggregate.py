@@ -3,11 +3,14 @@ one row per task."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from tidewell.functions.text import contains, not_empty, one_of, to_bigint, words_of
 from tidewell.functions.udfs import predicate_udf
@@ -92,8 +95,14 @@ def top_counts_each(frame: DataFrame, keys: Mapping[str, Column | str], k: int =
     return best.select("metric", "key", "count")
 
 
-def total(frame: DataFrame, column: str, alias: str) -> DataFrame:
-    return frame.agg(F.sum(column).alias(alias))
+def _sum(column: str, alias: str, as_type: str | None) -> Column:
+    out = F.sum(column)
+    return (out if as_type is None else out.cast(as_type)).alias(alias)
+
+
+def total(frame: DataFrame, column: str, alias: str, *, as_type: str | None = None) -> DataFrame:
+    """Sum over everything; ``as_type`` declares its type, whatever the input's."""
+    return frame.agg(_sum(column, alias, as_type))
 
 
 def total_bytes(records: DataFrame, column: str = "size", alias: str = "total_bytes") -> DataFrame:
@@ -101,15 +110,17 @@ def total_bytes(records: DataFrame, column: str = "size", alias: str = "total_by
     return records.agg(F.coalesce(F.sum(to_bigint(column)), F.lit(0)).alias(alias))
 
 
-def total_by(frame: DataFrame, key: str, column: str, alias: str) -> DataFrame:
-    return frame.groupBy(key).agg(F.sum(column).alias(alias))
+def total_by(
+    frame: DataFrame, key: str, column: str, alias: str, *, as_type: str | None = None
+) -> DataFrame:
+    return frame.groupBy(key).agg(_sum(column, alias, as_type))
 
 
 def total_by_chosen(
-    frame: DataFrame, key: str, chosen: list, column: str, alias: str
+    frame: DataFrame, key: str, chosen: list, column: str, alias: str, *, as_type: str | None = None
 ) -> DataFrame:
     """Sum per key for the chosen keys only; the filter runs before grouping."""
-    return total_by(frame.where(one_of(key, chosen)), key, column, alias)
+    return total_by(frame.where(one_of(key, chosen)), key, column, alias, as_type=as_type)
 
 
 def score_counts(people: DataFrame, max_age: int = 30) -> DataFrame:
@@ -144,3 +155,95 @@ def mean_by_pandas(
         return (sums["total"].astype("float64") / n).where(n > 0)
 
     return sums.select(key, finish("sums").alias(alias))
+
+
+GroupFunction = Callable[[tuple, Iterator[pd.DataFrame]], Iterable[pd.DataFrame]]
+
+
+def apply_groups(
+    frame: DataFrame,
+    keys: str | list[str],
+    function: GroupFunction,
+    schema: StructType | str,
+    *,
+    order_by: str | list[str | Column] | None = None,
+) -> DataFrame:
+    """Hand every group to a pandas function: (keys, columns of ``schema``).
+
+    ``function(key, batches)`` gets the key as a tuple (None for NULL) and the other columns of
+    the group as pandas frames, one Arrow batch after the other, and yields frames with the
+    columns of ``schema``; NaN in them, and as a key, is NULL in the result. What it does not hold on to is gone with the batch, so a group may
+    be larger than memory. With ``order_by`` the rows of a group come in that order, over all
+    its batches; the same shuffle and sort serve both.
+
+    The groups of one key stay in one task, since the function sees them whole: use sums and
+    counts (``mean_by_pandas``) where partial results can be combined. On a stream every
+    micro-batch has its own groups and nothing is remembered between them; ``order_by`` is for
+    batch frames.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    result = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    clash = set(keys) & set(result.names)
+    if clash:
+        raise ValueError(f"the result repeats the keys {', '.join(sorted(clash))}")
+    fields = [frame.schema[k] for k in keys]
+    # pandas shows a missing float as NaN, which is a key of its own.
+    floats = [k for k, f in zip(keys, fields, strict=True) if isinstance(f.dataType, DoubleType | FloatType)]
+    flags = [f"_{k}_is_null" for k in floats]
+    grouped = frame.withColumns({n: F.col(k).isNull() for n, k in zip(flags, floats, strict=True)})
+    names = result.names
+
+    def plain(key: tuple) -> tuple:
+        missing = {k for k, flag in zip(floats, key[len(keys) :], strict=True) if flag}
+        values = key[: len(keys)]
+        return tuple(
+            None if k in missing or (k not in floats and pd.isna(v)) else v
+            for k, v in zip(keys, values, strict=True)
+        )
+
+    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = plain(key)
+        for out in function(key, (b.drop(columns=keys + flags) for b in batches)):
+            parts = {k: [v] * len(out) for k, v in zip(keys, key, strict=True)}
+            yield pd.DataFrame(parts | {n: out[n].array for n in names}, columns=keys + names)
+
+    by = keys + flags
+    if order_by is not None:
+        if frame.isStreaming:
+            raise ValueError("the rows of a stream cannot be ordered within groups")
+        order = [order_by] if isinstance(order_by, str | Column) else list(order_by)
+        grouped = grouped.repartition(*by).sortWithinPartitions(*by, *order)
+    return grouped.groupBy(*by).applyInPandas(run, StructType([*fields, *result.fields]))
+
+
+def medians(value: str) -> GroupFunction:
+    """For ``apply_groups``: median ``v`` and number ``n`` of the values that are neither NULL nor NaN.
+
+    Holds on to eight bytes a row.
+    """
+
+    def function(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        values = np.concatenate([b[value].to_numpy("float64", na_value=np.nan) for b in batches])
+        values = values[~np.isnan(values)]
+        yield pd.DataFrame({"v": [np.median(values) if len(values) else None], "n": [len(values)]})
+
+    return function
+
+
+def longest_pause(time: str) -> GroupFunction:
+    """For ``apply_groups`` ordered by ``time``: the longest time between neighbours, ``pause_us`` in
+    microseconds (NULL for fewer than two). Holds on to the last time only."""
+
+    def function(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, longest = None, None
+        for batch in batches:
+            times = batch[time].dropna().to_numpy("datetime64[us]").astype("int64")
+            if last is not None:
+                times = np.concatenate([[last], times])
+            if len(times) > 1:
+                pause = int(np.diff(times).max())
+                longest = pause if longest is None else max(longest, pause)
+            last = times[-1] if len(times) else last
+        yield pd.DataFrame({"pause_us": pd.array([longest], "Int64")})
+
+    return function

@@ -184,6 +184,11 @@ def word_lines(events: DataFrame) -> DataFrame:
     return as_lines(events, text)
 
 
+def word_value_lines(events: DataFrame) -> DataFrame:
+    """``type,number``."""
+    return as_lines(events, F.concat_ws(",", "event_type", F.col("value").cast("string")))
+
+
 # -- people from customer -----------------------------------------------------------------
 
 SCORE = "CAST(50 + floor(abs(c_acctbal)) % 51 AS INTEGER)"

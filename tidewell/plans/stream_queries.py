@@ -8,12 +8,11 @@ the executors to shared folders; none of them passes through the driver.
 
 from __future__ import annotations
 
-import datetime as dt
 import re
 from collections.abc import Callable
 
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DecimalType,
@@ -23,6 +22,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -43,17 +43,20 @@ from tidewell.sinks.epochs import EpochTable
 from tidewell.sinks.foreach import BufferedWriter
 from tidewell.sources import files
 from tidewell.streaming import run
-from tidewell.streaming.windows import local_times, window_counts
+from tidewell.streaming.windows import window_counts
 
 # Input of one micro-batch over a table, so a huge table is taken in steps.
 BATCH_BYTES = 1 << 40
-SLICES = 3
+# Events landed at one time, by the size of their rows; at least so many arrivals are made, and no
+# arrival is cut within a minute.
+SLICE_BYTES = 64 << 30
+LEAST_SLICES = 3
 
 WORD_COUNT = StructType([StructField("word", StringType()), StructField("count", LongType())])
 WINDOW_COUNT = StructType(
     [
-        StructField("window_start", TimestampType()),
-        StructField("window_end", TimestampType()),
+        StructField("window_start", TimestampNTZType()),
+        StructField("window_end", TimestampNTZType()),
         *WORD_COUNT.fields,
     ]
 )
@@ -76,19 +79,37 @@ def _run(
 # -- arrivals ------------------------------------------------------------------------
 
 
-def _slice_bounds(events: DataFrame, n: int) -> list[dt.datetime]:
-    """Times that cut the span of ``ts`` into ``n`` equal parts."""
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    if low is None:
-        return []
-    micro = dt.timedelta(microseconds=1)
-    span = (high - low) // micro + 1
-    return [low - (-(k * span) // n) * micro for k in range(1, n)]
+# Four numbers and a time, and the texts.
+ROW_BYTES = "32 + octet_length(event_type) + octet_length(props)"
 
 
-# Number of the slice an event belongs to.
-SLICE_SQL = f"""((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {SLICES})
-    // (SELECT max(epoch_us(ts)) - min(epoch_us(ts)) + 1 FROM events)"""
+def slice_starts(events: DataFrame) -> list[str]:
+    """First minutes, as text, of the slices that cut ``events`` by time into arrivals.
+
+    Bytes are added up per minute; a slice begins with the first minute that has a further
+    ``SLICE_BYTES`` (or a third of all bytes, if less) before it. The running sum sees one row per
+    minute of the table, the driver one per slice.
+    """
+    # As text, which no zone changes: 2024-03-10 02:02.
+    minute = F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), 1, 16)
+    sizes = events.groupBy(minute.alias("minute")).agg(F.sum(F.expr(ROW_BYTES)).alias("bytes")).where("minute IS NOT NULL")
+    all_rows = Window.orderBy("minute")
+    before = F.sum("bytes").over(all_rows) - F.col("bytes")
+    total = F.sum("bytes").over(all_rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    limit = F.least(F.lit(SLICE_BYTES), F.floor((total + LEAST_SLICES - 1) / LEAST_SLICES))
+    cut = sizes.select("minute", F.floor(before / limit).alias("slice"))
+    starts = cut.groupBy("slice").agg(F.min("minute").alias("minute")).orderBy("slice")
+    return [r.minute for r in starts.collect()]
+
+
+# The events with the number of their slice.
+SLICED_EVENTS = f"""(SELECT events.*, slice FROM events JOIN (
+  SELECT minute, dense_rank() OVER (ORDER BY before // slice_bytes) - 1 AS slice
+  FROM (SELECT minute, sum(bytes) OVER (ORDER BY minute) - bytes AS before,
+      least({SLICE_BYTES}, (sum(bytes) OVER () + {LEAST_SLICES - 1}) // {LEAST_SLICES}) AS slice_bytes
+    FROM (SELECT date_trunc('minute', ts) AS minute,
+        sum(32 + strlen(event_type) + strlen(props))::BIGINT AS bytes FROM events GROUP BY 1)))
+  ON date_trunc('minute', ts) = minute)"""
 
 
 def _arrivals(
@@ -96,21 +117,18 @@ def _arrivals(
     folder: str,
     to_lines: Callable[[DataFrame], DataFrame],
     start: Callable[[DataFrame], None],
-    order: tuple[int, ...] = tuple(range(SLICES)),
+    *,
+    oldest_last: bool = False,
 ) -> None:
-    """Land the events slice by slice, oldest first or in ``order``; ``start`` runs after each."""
+    """Land the events slice by slice, oldest first or at the very end; ``start`` runs after each."""
     events = files.read_table(spark, folder, "events")
-    # As text, since a Python datetime would be read in the zone of the machine.
-    cuts = [F.lit(str(c)).cast("timestamp_ntz") for c in _slice_bounds(events, SLICES)]
     landing = scratch_dir(spark, "landing")
-    edges = [None, *cuts, None]
+    edges = [*slice_starts(events), None]
     slices = list(zip(edges, edges[1:]))
-    for low, high in (slices[k] for k in order if k < len(slices)):
-        part = events
-        if low is not None:
-            part = part.where(F.col("ts") >= low)
+    for low, high in slices[1:] + slices[:1] if oldest_last else slices:
+        part = events.where(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
         if high is not None:
-            part = part.where(F.col("ts") < high)
+            part = part.where(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
         to_lines(part).write.mode("append").text(landing)
         start(files.stream_files(spark, landing))
 
@@ -255,12 +273,14 @@ def stream_three_queries(spark, folder):
 
 _EVENT_WORDS = """(SELECT event_type AS word, ts FROM events
   UNION ALL SELECT concat('u', user_id), ts FROM events)"""
+_SLICED_WORDS = f"""(SELECT event_type AS word, slice FROM {SLICED_EVENTS}
+  UNION ALL SELECT concat('u', user_id), slice FROM {SLICED_EVENTS})"""
 
 
 @register(
     "per_batch_count",
     f"""
-SELECT {SLICE_SQL} AS batch_id, word, count(*) AS count FROM {_EVENT_WORDS} GROUP BY 1, 2
+SELECT slice AS batch_id, word, count(*) AS count FROM {_SLICED_WORDS} GROUP BY 1, 2
 """,
 )
 def per_batch_count(spark, folder):
@@ -385,7 +405,7 @@ _TIMED_WORDS = f"""(SELECT event_type AS word, ts FROM events WHERE {lines.GOOD_
 @register("event_words", f"SELECT ts AS time, word FROM {_TIMED_WORDS}")
 def event_words(spark, folder):
     events = files.read_table(spark, folder, "events")
-    return local_times(parse.parse_timed_words(lines.timed_lines(events)), "time")
+    return parse.parse_timed_words(lines.timed_lines(events))
 
 
 @register("window_counts", _window_sql(_TYPE_TIMES))
@@ -393,19 +413,17 @@ def window_counts_batch(spark, folder):
     events = files.read_table(spark, folder, "events").select(
         F.col("ts").alias("time"), F.col("event_type").alias("word")
     )
-    counts = window_counts(events, width="10 minutes", slide="5 minutes")
-    return local_times(counts, "window_start", "window_end")
+    return window_counts(events, width="10 minutes", slide="5 minutes")
 
 
 @register("window_counts_stream", _window_sql(_TIMED_WORDS))
 def window_counts_stream(spark, folder):
-    """Complete mode, ordered by window when read: written files keep no order."""
+    """Complete mode, ordered by window; the table is read in that order."""
     events = files.stream_table(spark, folder, "events", max_bytes=BATCH_BYTES)
     timed = parse.parse_timed_words(lines.timed_lines(events))
-    counts = window_counts(timed, width="10 minutes", slide="5 minutes")
-    table = EpochTable(_place(spark, "windows"), WINDOW_COUNT)
-    out = _run(counts, "windows", "complete", table, "replace").orderBy("window_start", "word")
-    return local_times(out, "window_start", "window_end")
+    counts = window_counts(timed, width="10 minutes", slide="5 minutes", ordered=True)
+    table = EpochTable(_place(spark, "windows"), WINDOW_COUNT, ordered=True)
+    return _run(counts, "windows", "complete", table, "replace")
 
 
 def _late_windows(stream: DataFrame) -> DataFrame:
@@ -425,13 +443,13 @@ def window_watermark_stream(spark, folder):
         _run(_late_windows(stream), "watermark", "update", table, "upsert")
 
     _arrivals(spark, folder, lines.word_time_lines, start)
-    return local_times(table.read(spark), "window_start", "window_end")
+    return table.read(spark)
 
 
 @register(
     "window_late_stream",
     _window_sql(
-        f"(SELECT event_type AS word, ts, {SLICE_SQL} AS slice FROM events)",
+        f"(SELECT event_type AS word, ts, slice FROM {SLICED_EVENTS})",
         late="WHERE slice > 0 OR window_start + INTERVAL 10 MINUTE > "
         "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
     ),
@@ -445,8 +463,8 @@ def window_late_stream(spark, folder):
     def start(stream: DataFrame) -> None:
         _run(_late_windows(stream), "late", "update", table, "upsert")
 
-    _arrivals(spark, folder, lines.word_time_lines, start, order=(1, 2, 0))
-    return local_times(table.read(spark), "window_start", "window_end")
+    _arrivals(spark, folder, lines.word_time_lines, start, oldest_last=True)
+    return table.read(spark)
 
 
 @register(
@@ -465,7 +483,7 @@ def window_closed_stream(spark, folder):
         _run(_late_windows(stream), "closed", "append", table, "append")
 
     _arrivals(spark, folder, lines.word_time_lines, start)
-    return local_times(table.read(spark), "window_start", "window_end")
+    return table.read(spark)
 
 
 # -- without state --------------------------------------------------------------------------
@@ -509,17 +527,24 @@ FROM customer WHERE c_nationkey * 2 < 30 AND c_mktsegment <> 'MACHINERY' GROUP B
 def stream_score_board(spark, folder):
     customer = files.stream_table(spark, folder, "customer", max_bytes=BATCH_BYTES)
     people = parse.parse_word_score(lines.score_lines(customer))
+    """Complete mode, ordered by score; the table is read in that order."""
     schema = StructType([StructField("score", IntegerType()), StructField("count", LongType())])
-    table = EpochTable(_place(spark, "scores"), schema)
-    counts = aggregate.score_counts(people)
-    return _run(counts, "scores", "complete", table, "replace").orderBy("score")
+    table = EpochTable(_place(spark, "scores"), schema, ordered=True)
+    return _run(aggregate.score_board(people), "scores", "complete", table, "replace")
+
+
+def _word_values(stream: DataFrame) -> DataFrame:
+    parts = stream.select(F.split("value", ",").alias("parts"))
+    return parts.select(
+        F.get("parts", F.lit(0)).alias("word"), F.get("parts", F.lit(1)).try_cast("double").alias("x")
+    )
 
 
 @register(
     "stream_group_mean",
     f"""
-SELECT {SLICE_SQL} AS batch_id, event_type AS word, round(avg(value), 6) AS v
-FROM events GROUP BY 1, 2
+SELECT slice AS batch_id, event_type AS word, round(avg(value), 6) AS v
+FROM {SLICED_EVENTS} GROUP BY 1, 2
 """,
 )
 def stream_group_mean(spark, folder):
@@ -529,19 +554,35 @@ def stream_group_mean(spark, folder):
     table = EpochTable(place, schema)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        cut = batch.select(F.split("value", ",").alias("parts")).select(
-            F.get("parts", F.lit(0)).alias("word"),
-            F.get("parts", F.lit(1)).try_cast("double").alias("x"),
-        )
-        table.append(aggregate.mean_by_pandas(cut, "word", "x"), epoch)
-
-    def to_lines(events: DataFrame) -> DataFrame:
-        text = F.concat_ws(",", "event_type", F.col("value").cast("string"))
-        return events.select(text.alias("value"))
+        table.append(aggregate.mean_by_pandas(_word_values(batch), "word", "x"), epoch)
 
     def start(stream: DataFrame) -> None:
         run.drain(stream, "group-mean", f"{place}/checkpoints", each_batch=write)
 
-    _arrivals(spark, folder, to_lines, start)
+    _arrivals(spark, folder, lines.word_value_lines, start)
     means = table.read_with_epoch(spark)
     return means.select(F.col("epoch").alias("batch_id"), "word", F.round("v", 6).alias("v"))
+
+
+@register(
+    "stream_group_median",
+    f"""
+SELECT slice AS batch_id, event_type AS word, round(median(value), 6) AS v, count(value) AS n
+FROM {SLICED_EVENTS} GROUP BY 1, 2
+""",
+)
+def stream_group_median(spark, folder):
+    """A caller's pandas function on the groups of every micro-batch: update mode, no state."""
+    place = _place(spark, "group-median")
+    schema = StructType([StructField("word", StringType()), StructField("v", DoubleType()),
+                         StructField("n", LongType()), StructField("epoch", LongType())])
+    spark.createDataFrame([], schema).write.json(f"{place}/rows")
+
+    def start(stream: DataFrame) -> None:
+        medians = aggregate.apply_groups(_word_values(stream), "word", aggregate.medians("x"), "v double, n long")
+        writer = json_files_writer(f"{place}/rows")
+        run.drain(medians, "group-median", f"{place}/checkpoints", mode="update", each_row=writer)
+
+    _arrivals(spark, folder, lines.word_value_lines, start)
+    rows = spark.read.schema(schema).json(f"{place}/rows")
+    return rows.select(F.col("epoch").alias("batch_id"), "word", F.round("v", 6).alias("v"), "n")

@@ -176,3 +176,32 @@ def call_etl(spark, folder):
 def group_mean_pandas(spark, folder):
     means = aggregate.mean_by_pandas(files.read_table(spark, folder, "events"), "user_id", "value")
     return means.withColumn("v", F.round("v", 6))
+
+
+@register(
+    "group_median_pandas",
+    """
+SELECT event_type, round(median(value), 6) AS v, count(value) AS n FROM events GROUP BY event_type
+""",
+)
+def group_median_pandas(spark, folder):
+    """A caller's function sees whole groups, batch by batch."""
+    events = files.read_table(spark, folder, "events").select("event_type", "value")
+    found = aggregate.apply_groups(events, "event_type", aggregate.medians("value"), "v double, n long")
+    return found.withColumn("v", F.round("v", 6))
+
+
+@register(
+    "group_pause_pandas",
+    """
+SELECT user_id, max(pause) AS pause_us
+FROM (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS pause FROM events)
+GROUP BY user_id
+""",
+)
+def group_pause_pandas(spark, folder):
+    """The longest pause of every user: rows in order of time, over all batches of a group."""
+    events = files.read_table(spark, folder, "events").select("user_id", "ts")
+    return aggregate.apply_groups(
+        events, "user_id", aggregate.longest_pause("ts"), "pause_us long", order_by="ts"
+    )
