@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tidewell.operators import parse
 
 GOOD = (
-    '203.0.113.85 - - [18/Oct/2022:19:40:51 +0800] "GET /path HTTP/1.1" 200 1234 '
-    '"http://ref" "Mozilla/5.0 (X11)" "-" "www.example.org"'
+    '198.51.100.7 - - [03/Feb/2024:07:08:09 +0100] "GET /path HTTP/1.1" 200 5120 '
+    '"http://ref" "Lynx/2.9 (own test)" "-" "www.example.org"'
 )
-FIELDS = ("203.0.113.85", "18/Oct/2022:19:40:51", "GET", "/path", "HTTP/1.1", "200", "1234")
+FIELDS = ("198.51.100.7", "03/Feb/2024:07:08:09", "GET", "/path", "HTTP/1.1", "200", "5120")
 
 
 def test_access_log_fields(lines_of):
     got = tuples(parse.parse_access_log(lines_of(GOOD), user_agent=True))
-    assert got == [(*FIELDS, "www.example.org", "Mozilla/5.0 (X11)")]
+    assert got == [(*FIELDS, "www.example.org", "Lynx/2.9 (own test)")]
 
 
 def test_access_log_length_limit_counts_characters(lines_of):

@@ -70,9 +70,9 @@ def test_repeated_names_are_refused(spark):
 
 
 def test_inline_rows_cast_to_text(spark):
-    rows = [("Finance", 10), (None, None)]
+    rows = [("Harbour", 7), (None, None)]
     got = tuples(files.inline_rows(spark, rows, schemas.KEY_VALUE))
-    assert got == [("Finance", "10"), (None, None)]
+    assert got == [("Harbour", "7"), (None, None)]
     typed = StructType([StructField("k", StringType()), StructField("n", IntegerType())])
     assert tuples(files.inline_rows(spark, [("a", 1)], typed)) == [("a", 1)]
 
@@ -134,8 +134,8 @@ def test_kafka_encoding(spark):
     rows = spark.createDataFrame([(1, "x")], "n int, word string")
     assert tuples(kafka.encode(rows)) == [(None, '{"n":1,"word":"x"}')]
     assert tuples(kafka.encode(rows, "word", "n")) == [("1", "x")]
-    pairs = spark.createDataFrame([("Finance", 10)], "key string, value int")
-    assert tuples(kafka.encode(pairs)) == [("Finance", "10")]
+    pairs = spark.createDataFrame([("Harbour", 7)], "key string, value int")
+    assert tuples(kafka.encode(pairs)) == [("Harbour", "7")]
     raw = spark.createDataFrame([(bytearray(b"hi"),)], "value binary")
     assert tuples(kafka.decode_value(raw)) == [("hi",)]
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewell.functions.text import column, part, split_on
+from tidewell.functions.text import column, split_on
 
 MAX_IPV4 = (1 << 32) - 1
 
 _OCTET = r"(?:\d{1,2}|[01]\d\d|2[0-4]\d|25[0-5])"
 _DOTTED = rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"
-_FOUR_GROUPS = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\z"
 _DIGITS = r"^\d{1,10}\z"
 
 
@@ -27,11 +26,10 @@ def ip_to_long(c: Column | str) -> Column:
     short forms and out-of-range numbers, is NULL.
     """
     c = column(c)
-    a, b, d, e = (part(split_on(c, "."), i).try_cast("int") for i in range(4))
-    dotted = c.rlike(_FOUR_GROUPS) & (F.greatest(a, b, d, e) <= 255)
-    number = ((a.cast("bigint") * 256 + b) * 256 + d) * 256 + e
+    octets = split_on(c, ".")
+    number = F.aggregate(octets, F.lit(0).cast("bigint"), lambda n, octet: n * 256 + octet.try_cast("bigint"))
     plain = c.try_cast("bigint")
-    return F.when(dotted, number).when(c.rlike(_DIGITS) & (plain <= MAX_IPV4), plain)
+    return F.when(is_ip(c), number).when(c.rlike(_DIGITS) & (plain <= MAX_IPV4), plain)
 
 
 def long_to_ip(c: Column | str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
-from tidewell.functions.text import contains, not_empty, one_of, to_bigint, words_of
+from tidewell.functions.text import below, contains, not_empty, one_of, to_bigint, words_of
 from tidewell.functions.udfs import predicate_udf
 
 
@@ -125,7 +125,7 @@ def total_by_chosen(
 
 def score_counts(people: DataFrame, max_age: int = 30) -> DataFrame:
     """How many people below ``max_age`` have each score."""
-    return count_by(people.where(F.col("age") < max_age), "score")
+    return count_by(people.where(below("age", max_age)), "score")
 
 
 def score_board(people: DataFrame, max_age: int = 30) -> DataFrame:

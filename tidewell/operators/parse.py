@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.clock import to_wall_time
 from tidewell.functions.text import (
     contains,
+    equals_int,
     has_fields,
     longer_than,
     part,
@@ -88,7 +89,7 @@ def parse_order_json(lines: DataFrame) -> DataFrame:
 
 def valid_orders(orders: DataFrame, status: int = 0) -> DataFrame:
     """Orders of one status; other text in the status field never matches."""
-    return orders.where(to_int("status") == status)
+    return orders.where(equals_int("status", status))
 
 
 def successful_calls(lines: DataFrame, word: str = "success", fields: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions.text import WHITESPACE
+from tidewell.functions.text import WHITESPACE, joined, row_json, to_text
 from tidewell.operators import aggregate, parse
 from tidewell.plans import lines
 from tidewell.plans.registry import register
@@ -91,7 +91,7 @@ def text_sink_counts(spark, folder):
     log = lines.access_lines(files.read_table(spark, folder, "events"))
     counts = aggregate.count_by(parse.parse_access_log(log), "path")
     path = scratch_dir(spark, "counts-text")
-    output.save_text(counts, path, F.concat_ws(": ", "path", F.col("count").cast("string")))
+    output.save_text(counts, path, joined(": ", "path", to_text("count")))
     saved = files.read_lines(spark, path).select(F.split("value", ": ").alias("parts"))
     return saved.select(
         F.get("parts", F.lit(0)).alias("key"),
@@ -166,7 +166,7 @@ FROM events WHERE {lines.GOOD_EVENT} AND {lines.CALL_STATUS} = 'success'
 )
 def call_etl(spark, folder):
     calls = parse.successful_calls(lines.call_lines(files.read_table(spark, folder, "events")))
-    return parse.parse_call_record(calls).select(F.to_json(F.struct("*")).alias("value"))
+    return parse.parse_call_record(calls).select(row_json().alias("value"))
 
 
 @register(

@@ -26,8 +26,6 @@ def strings(names: str | list[str]) -> StructType:
 
 LINE = strings("value")
 
-ACCESS_LOG = strings("remote_ip request_time method path version status size agent")
-
 PEOPLE_CSV = StructType(
     [
         StructField("name", StringType(), True),
@@ -36,14 +34,6 @@ PEOPLE_CSV = StructType(
     ]
 )
 
-WORD_SCORE = StructType(
-    [
-        StructField("name", StringType(), True),
-        StructField("age", IntegerType(), True),
-        StructField("score", IntegerType(), True),
-    ]
-)
-
 ORDER = StructType(
     [
         StructField("ip", StringType(), True),
@@ -52,15 +42,6 @@ ORDER = StructType(
     ]
 )
 
-CALL_RECORD = strings("stationId callOut callIn callStatus callTime duration")
-
-EVENT_WORD = StructType(
-    [
-        StructField("time", TimestampType(), True),
-        StructField("word", StringType(), True),
-    ]
-)
-
 IP_RANGE = StructType(
     [
         StructField("ip_start", LongType(), True),
