@@ -158,11 +158,11 @@ def packed(docs: pa.Table, n_docs: int, n_terms: int) -> tuple:
     sketches = np.zeros((len(lengths), 64), np.float32)
     if words:
         signs = _signs([t.encode() for t in words]).astype(np.float32)
-        for start in range(0, len(lengths), 256):
-            stop = min(start + 256, len(lengths))
+        for start in range(0, len(lengths), 32):
+            stop = min(start + 32, len(lengths))
             a, b = row_ptr[start], row_ptr[stop]
             busy = lengths[start:stop] > 0
-            sums = np.add.reduceat(signs[cols[a:b]] * vals[a:b, None], row_ptr[start:stop][busy] - a, axis=0)
+            sums = np.add.reduceat(signs[cols[a:b]] * vals[a:b, None].astype(np.float32), row_ptr[start:stop][busy] - a, axis=0)
             sketches[start:stop][busy] = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
     by_term = np.argsort(cols, kind="stable")
     list_len = np.bincount(cols, minlength=len(words))
