@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import binascii
-import gzip
+import codecs
 import hashlib
 import io
 import re
@@ -44,13 +44,22 @@ ESCAPE = re.compile(
     r"|&\#(?P<ref>[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 )
 BASE64 = re.compile(r"([A-Za-z0-9+/_-]{16,})={0,2}")
-#: Base64 wrapped over lines: the first piece ends its line, the later ones start theirs.
-WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+#: Base64 wrapped over lines: the first piece ends its line, the later ones start theirs. A run is
+#: read once, from its start, so a long unbroken one takes time in proportion.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+#: Letters of base64 that also part the words of a path or a name.
+PARTING = re.compile(r"[+/_-]")
+#: Least characters of a find; a shorter layer behind such a letter holds none.
+LEAST_FIND = 16
 PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 #: A packed layer that grows beyond this many bytes is not opened; the row counts it in
 #: ``n_refused``, so that one hostile text cannot take a task's memory.
 MOST_UNPACKED = 64 << 20
 REFUSED = "refused"
+# First bytes of packed data, and bytes unpacked at one time.
+GZIP, ZSTD = b"\x1f\x8b", b"\x28\xb5\x2f\xfd"
+STEP = 1 << 20
+PIECE_BYTES = 1 << 10
 
 SCHEMA = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
@@ -126,37 +135,66 @@ def unescape(text: str, first: np.ndarray, last: np.ndarray):
     return "".join(parts), np.concatenate([*firsts, first[at:]]), np.concatenate([*lasts, last[at:]])
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Packed data opened; None if it is not packed. Raises OverflowError beyond the bound."""
-    if data[:2] == b"\x1f\x8b":
-        stream = gzip.GzipFile(fileobj=io.BytesIO(data))
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data))
+def _inflated(data: bytes, wbits: int) -> Iterator[bytes | None]:
+    """Parts of a zlib or gzip stream; None at the very end of the last member. Read in small
+    pieces, since a fault takes along what its piece holds."""
+    while True:
+        opened, at = zlib.decompressobj(wbits), 0
+        while at < len(data) and not opened.eof:
+            piece = data[at : at + PIECE_BYTES]
+            at += len(piece)
+            while piece and not opened.eof:
+                yield opened.decompress(piece, STEP)
+                piece = opened.unconsumed_tail
+        if not opened.eof:
+            return
+        data = opened.unused_data + data[at:]
+        if wbits < 16 or not data.startswith(GZIP):
+            yield None
+            return
+
+
+def _expanded(data: bytes) -> Iterator[bytes | None]:
+    with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True) as reader:
+        while part := reader.read(STEP):
+            yield part
+    yield None
+
+
+def _unpacked(data: bytes) -> tuple[bytes, bool] | None:
+    """Packed data opened, as far as it goes, and whether it goes to its end; None if it is not
+    packed. Raises OverflowError beyond the bound."""
+    if data.startswith(GZIP):
+        parts = _inflated(data, 31)
+    elif data.startswith(ZSTD):
+        parts = _expanded(data)
     elif len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        opened = zlib.decompressobj()
-        try:
-            out = opened.decompress(data, MOST_UNPACKED)
-        except zlib.error:
-            return None
-        if opened.unconsumed_tail:
-            raise OverflowError
-        return out if opened.eof else None
+        parts = _inflated(data, 15)
     else:
         return None
+    out, size, whole = [], 0, False
     try:
-        out = stream.read(MOST_UNPACKED + 1)
-    except (OSError, EOFError, zlib.error, zstandard.ZstdError):
-        return None
-    if len(out) > MOST_UNPACKED:
-        raise OverflowError
-    return out
-
-
-def _readable(data: bytes) -> str | None:
+        for part in parts:
+            if part is None:
+                whole = True
+                break
+            out.append(part)
+            size += len(part)
+            if size > MOST_UNPACKED:
+                raise OverflowError
+    except (zlib.error, zstandard.ZstdError):
+        pass
+    return (b"".join(out), whole) if size or whole else None
+
+
+def _readable(data: bytes, whole: bool = True) -> str | None:
+    """Text in UTF-8; of a faulty stream what comes before the first other byte."""
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+        text = codecs.utf_8_decode(data, "strict", whole)[0]
+    except UnicodeDecodeError as error:
+        if whole:
+            return None
+        text = data[: error.start].decode("utf-8")
     return text or None
 
 
@@ -173,12 +211,59 @@ def _pieces(m: re.Match) -> Iterator[list[tuple[int, int]]]:
                 yield pieces[start:end]
 
 
+def _text_bytes(data: memoryview) -> int:
+    """How many bytes from the start are UTF-8; reads little more than that."""
+    size = 64
+    while True:
+        try:
+            good = codecs.utf_8_decode(data[:size], "strict", False)[1]
+        except UnicodeDecodeError as error:
+            return error.start
+        if size >= len(data):
+            return good
+        size *= 2
+
+
+def _glued(run: str) -> Iterator[tuple[int, int]]:
+    """Parts of a run that are base64 of text or packed data behind the end of a path or name.
+
+    The run is decoded once for each of the four ways to begin; a part of text ends where UTF-8
+    ends, and the next one is looked for behind it.
+    """
+    plain, decoded, done = run.replace("-", "+").replace("_", "/"), {}, 0
+    for m in PARTING.finditer(run):
+        start = m.end()
+        if len(run) - start < LEAST_FIND:
+            return
+        if start < done:
+            continue
+        way = start % 4
+        if way not in decoded:
+            # A last letter alone holds no byte; two or three hold one or two.
+            rest = plain[way : len(run) - ((len(run) - way) % 4 == 1)]
+            decoded[way] = memoryview(binascii.a2b_base64(rest + "=" * (-len(rest) % 4)))
+        data = decoded[way][(start - way) // 4 * 3 :]
+        if data[:4] == ZSTD or data[:3] == GZIP + b"\x08":
+            yield start, len(run)
+            return
+        good = _text_bytes(data)
+        if good >= LEAST_FIND:
+            done = len(run) if good == len(data) else start + good // 3 * 4
+            yield start, done
+
+
 def unwrap(text: str, first: np.ndarray, last: np.ndarray) -> Iterator[tuple | str]:
     """Layers in the base64 runs of a layer; REFUSED for one that is too large to open."""
     for m in BASE64.finditer(text):
         layer = _opened(m[1], np.arange(m.start(), m.end(1)), m.end(), first, last)
         if layer is not None:
             yield layer
+        else:
+            for start, end in _glued(m[1]):
+                at = np.arange(m.start() + start, m.start() + end)
+                layer = _opened(m[1][start:end], at, m.end() if end == len(m[1]) else m.start() + end, first, last)
+                if layer is not None:
+                    yield layer
     for m in WRAPPED.finditer(text):
         for pieces in _pieces(m):
             at = np.concatenate([np.arange(a, b) for a, b in pieces])
@@ -197,13 +282,17 @@ def _opened(run: str, at: np.ndarray, end: int, first: np.ndarray, last: np.ndar
         data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
     except binascii.Error:
         return None
-    packed = False
+    packed, whole = False, True
     try:
         while (opened := _unpacked(data)) is not None:
-            data, packed = opened, True
+            # Text may begin like a zlib stream, but none ends like one.
+            if not opened[1] and not data.startswith((GZIP, ZSTD)) and _readable(data, whole):
+                break
+            (data, ended), packed = opened, True
+            whole = whole and ended
     except OverflowError:
         return REFUSED
-    found = _readable(data)
+    found = _readable(data, whole)
     if found is None:
         return None
     if packed:  # a packed character stands for the whole run
