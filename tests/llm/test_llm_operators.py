@@ -124,30 +124,30 @@ def test_simhash_equals_brute_force(spark, monkeypatch):
 
 
 def plain_line_dedup(texts):
-    """Lines that go, by id: all windows, all earlier equal lines, runs step by step."""
+    """Lines that go, by id: runs that begin with a window that came before, grown against its first place."""
     rows = {d: [(i, x.strip(lines.SPACES)) for i, x in enumerate(t.split("\n")) if x.strip(lines.SPACES)] for d, t in texts.items()}
-    first = {}
+
+    def window(own, a):
+        for b in range(a + 1, len(own) + 1):
+            if sum(len(x.split()) for _, x in own[a:b]) >= 5:
+                return tuple(x for _, x in own[a:b])
+        return None
+
+    first, gone = {}, {}
     for d in sorted(rows):
-        for p, (_, line) in enumerate(rows[d]):
-            first.setdefault(line, (d, p))
-    signed = lambda x: (h := xxhash.xxh64_intdigest(x)) - (1 << 64) * (h >> 63)
-    gone = {}
-    for d, own in rows.items():
-        picked = set()
-        for a in range(len(own)):
-            for b in range(a + 1, len(own) + 1):
-                if sum(len(x.split()) for _, x in own[a:b]) >= lines.WINDOW_WORDS:
-                    picked.add(min(range(a, b), key=lambda i: (signed(own[i][1]), -i)))
-                    break
         out = set()
-        for p in picked:
-            f, q = first[own[p][1]]
-            if (f, q) == (d, p):
+        for a in range(len(rows[d])):
+            run = window(rows[d], a)
+            if run is None:
+                break
+            if run not in first:
+                first[run] = (d, a)
                 continue
+            f, q = first[run]
             for step in (1, -1):
                 k = 0
-                while 0 <= p + k < len(own) and 0 <= q + k < len(rows[f]) and own[p + k][1] == rows[f][q + k][1]:
-                    out.add(own[p + k][0])
+                while 0 <= a + k < len(rows[d]) and 0 <= q + k < len(rows[f]) and rows[d][a + k][1] == rows[f][q + k][1]:
+                    out.add(rows[d][a + k][0])
                     k += step
         if out:
             gone[d] = sorted(out)
@@ -159,9 +159,14 @@ def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(2)
     pool = ["a", "b c", "d e f", "g h i j k l", "m n o p q", " ", ""]
     texts |= {1000 + i: "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 12))) for i in range(60)}
+    # A lone short line repeats; a run of short lines repeats whose least line came first elsewhere.
+    texts |= {2000: "two words\nnothing else is in this text", 2001: "two words\nother things stand in here, too"}
+    texts |= {2010 + i: f"{x}\nand text number {i} goes on alone" for i, x in enumerate(["p q", "r s", "t u"])}
+    texts |= {2020 + i: f"before {i} it\np q\nr s\nt u\nafter it {i}" for i in range(2)}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r["gone"] for r in lines.repeated_lines(frame).collect()}
     assert got == plain_line_dedup(texts)
+    assert 2001 not in got and got[2021] == [1, 2, 3]
 
 
 def plain_tiles(item, doc, least):
@@ -356,6 +361,10 @@ def test_odd_tables(spark, tmp_path, name, rows):
     frame.withColumn("unit", F.lit(1)).write.parquet(f"{tmp_path}/embeddings.parquet")
     spark.createDataFrame([(1, "a b c d e f"), (None, None)] if rows else [], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(1, 1, 0), (None, None, None), (3, 0, 0)] if rows else [], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    talk = [(1, 0, "user", "Hm?"), (None, None, None, None), (1, 0, "user", "Hm?")] if rows else []
+    spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    page = [(1, "http://a.b/c", "<p>x"), (None, None, None)] if rows else []
+    spark.createDataFrame(page, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     found = QUERIES[name](spark, str(tmp_path)).collect()
     per_row = {"op1_secrets", "op3_mixing", "op4_quality", "op6_language", "op7_lines", "op8_simhash", "op5_vectors"}
     if not rows:
@@ -380,3 +389,24 @@ def test_pipeline(spark):
         out.write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
     assert 0 < docs.count() <= before and docs.where("copies not in (1, 2)").isEmpty()
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+@pytest.mark.parametrize("rows", [[], ODD + ODD], ids=["empty", "odd"])
+def test_odd_rows_in_every_stage(spark, name, stage, rows):
+    """Empty tables, nulls, repeats, long texts, and columns of users with names that stages might use."""
+    names = ["gone", "gone_id", "__gone", "__n_gone", "__id", "mixed_id", "place", "h", "component", "key", "n", "print"]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(f"own {c}") for c in names})
+    out = stage(spark, docs, SMALL)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    found = out.collect()
+    assert len(found) <= len(rows)
+    for r in found:
+        assert all(r[c] == f"own {c}" for c in names)
+
+
+def test_language_model_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").withColumn("text", F.substring("text", 1, 40))
+    one, seven = (language.train(docs.repartition(n)) for n in (1, 7))
+    assert one.languages == seven.languages and one.temperature == seven.temperature
+    assert np.array_equal(one.table, seven.table) and np.array_equal(one.bias, seven.bias)

@@ -32,3 +32,11 @@ def arrow_batch(columns: Sequence[Sequence], schema: pa.Schema) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def free_name(base: str, taken: Iterable[str]) -> str:
+    """``base``, with as many underscores as it takes to be no column yet (in any letter case)."""
+    names = {n.lower() for n in taken}
+    while base.lower() in names:
+        base += "_"
+    return base

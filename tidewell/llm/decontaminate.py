@@ -12,17 +12,18 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_batch, slices, table
+from tidewell.llm.common import ROWS_AT_ONCE, arrow_batch, slices, table
 
 LEAST_TILE, LEAST_COVERAGE = 5, 0.8
 #: Characters of benchmark text that travel to the tasks at once; a larger benchmark is
 #: handled in blocks of items, each block against all documents.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 1 << 20
 TOKEN = re.compile(r"[^\W_]+")
 SCHEMA = "doc_id long, item_id long, coverage double, n_tiles long, longest_tile long"
 ARROW = pa.schema(
@@ -178,22 +179,27 @@ def op2_decontaminate(spark, folder):
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-def clean(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the rows that hold no benchmark item, each judged by its own text.
+def _holds_item(shared):
+    """Column function: whether a text holds an item of the block."""
 
-    One narrow pass for each block of items; nothing is shuffled.
-    """
-    at = docs.schema.names.index("text")
+    @F.arrow_udf("boolean")
+    def held(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            found = []
+            for start in range(0, len(column), ROWS_AT_ONCE):
+                few = column.slice(start, ROWS_AT_ONCE).to_pylist()
+                found += [next(_hits(t, shared.value, LEAST_TILE, LEAST_COVERAGE), None) is not None for t in few]
+            yield pa.array(found, pa.bool_())
 
-    def without(shared):
-        def run(batches):
-            for batch in slices(batches):
-                held = [next(_hits(t, shared.value, LEAST_TILE, LEAST_COVERAGE), None) for t in batch.column(at).to_pylist()]
-                yield batch.filter(pa.array([h is None for h in held], pa.bool_()))
+    return held
 
-        return run
 
-    schema = docs.schema
+def clean(spark, docs: DataFrame, folder: str) -> DataFrame:
+    """Pipeline stage: the rows that hold no benchmark item, each judged by its own text.
+
+    Only texts go to Python and only answers come back; nothing is shuffled. Null texts hold
+    nothing and stay; the columns of ``docs`` stay as they are, whatever their names.
+    """
     for shared in _blocks(table(spark, folder, "benchmark"), LEAST_TILE):
-        docs = docs.mapInArrow(without(shared), schema)
+        docs = docs.where(~_holds_item(shared)(docs["text"]))
     return docs

@@ -9,6 +9,7 @@ score falls below ``REJECT_BELOW`` are rejected by the pipeline.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,17 +63,20 @@ def grams(text: str | None, letters: np.ndarray) -> np.ndarray | None:
 
 
 def _bags(batches):
-    """(lang, buckets, counts) of the training rows."""
+    """(lang, place, buckets, counts) of the training rows."""
     letters = letter_table()
-    schema = pa.schema([("lang", pa.string()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+    schema = pa.schema(
+        [("lang", pa.string()), ("place", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]
+    )
     for batch in slices(batches):
-        langs, ats, ns = [], [], []
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        rows = []
+        for lang, text, place in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             found = grams(text, letters)
             if found is not None:
                 at, n = np.unique(found, return_counts=True)
-                langs.append(lang), ats.append(at.astype(np.int32)), ns.append(n.astype(np.int32))
-        yield arrow_batch([langs, ats, ns], schema)
+                rows.append((lang, place, at.astype(np.int32), n.astype(np.int32)))
+        if rows:
+            yield arrow_batch(list(zip(*rows, strict=True)), schema)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -80,8 +84,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(bags: np.ndarray, target: np.ndarray, n_classes: int, seed: int = 7):
-    """Embeddings x output layer, by stochastic gradient descent over mini-batches."""
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, n_classes: int, seed: int = 7):
+    """Embeddings x output layer, by stochastic gradient descent over mini-batches of rows, each the
+    buckets of a text and their shares."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     out = rng.normal(0, 0.1, (DIM, n_classes)).astype(np.float32)
@@ -92,15 +97,17 @@ def fit(bags: np.ndarray, target: np.ndarray, n_classes: int, seed: int = 7):
         order = rng.permutation(len(bags))
         for start in range(0, len(order), BATCH):
             rows = order[start : start + BATCH]
-            x = bags[rows]
-            hidden = x @ embed
+            used = np.unique(np.concatenate([bags[r][0] for r in rows]))
+            x = np.zeros((len(rows), len(used)), np.float32)
+            for i, r in enumerate(rows):
+                x[i, np.searchsorted(used, bags[r][0])] = bags[r][1]
+            hidden = x @ embed[used]
             error = (_softmax(hidden @ out + bias) - goal[rows]) / len(rows)
             back = error @ out.T
             out -= rate * (hidden.T @ error)
             bias -= rate * error.sum(axis=0)
-            used = np.flatnonzero(x.any(axis=0))
             # A mean over many grams gives each a tiny step; the count of grams undoes that.
-            embed[used] -= rate * 20 * (x[:, used].T @ back)
+            embed[used] -= rate * 20 * (x.T @ back)
     return embed @ out, bias
 
 
@@ -120,19 +127,21 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", label_col="lang", r
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0)
     chance = F.create_map(*(F.lit(x) for k in names for x in (k, min(1.0, rows / counts[k]))))
     drawn = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.where(drawn < chance[F.col(label_col)]).select(label_col, text_col)
-    found = sample.mapInArrow(_bags, "lang string, at array<int>, n array<int>").toArrow().sort_by(
-        [("lang", "ascending")]
+    # Hash of the id and the text: the same order whatever the partitions, up to equal rows.
+    place = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+    sample = labelled.where(drawn < chance[F.col(label_col)]).select(label_col, text_col, place)
+    found = sample.mapInArrow(_bags, "lang string, place long, at array<int>, n array<int>").toArrow().sort_by(
+        [("lang", "ascending"), ("place", "ascending")]
     )
-    bags = np.zeros((found.num_rows, BUCKETS), np.float32)
-    for i, (at, n) in enumerate(zip(found["at"].to_pylist(), found["n"].to_pylist(), strict=True)):
-        bags[i, at] = np.asarray(n, np.float32) / sum(n)
+    bags = [
+        (np.asarray(at), np.asarray(n, np.float32) / np.float32(sum(n)))
+        for at, n in zip(found["at"].to_pylist(), found["n"].to_pylist(), strict=True)
+    ]
     target = np.array([names.index(x) for x in found["lang"].to_pylist()], int)
-    order = np.lexsort([*(bags.T[:8]), target])  # the same order whatever the partitions
-    bags, target = bags[order], target[order]
     apart = np.arange(len(target)) % 5 == 4
-    weights, bias = fit(bags[~apart], target[~apart], len(names))
-    temperature = _temperature(bags[apart] @ weights + bias, target[apart])
+    weights, bias = fit([b for b, a in zip(bags, apart, strict=True) if not a], target[~apart], len(names))
+    scores = [share @ weights[at] + bias for (at, share), a in zip(bags, apart, strict=True) if a]
+    temperature = _temperature(np.array(scores).reshape(-1, len(names)), target[apart])
     return LanguageModel(names, weights.astype(np.float32), bias, temperature)
 
 
@@ -181,19 +190,18 @@ def op6_language(spark, folder):
 def accepted(spark, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: the rows whose language is found with a score of at least one half.
 
-    Rows are judged one by one, so a repeated row and a row without id are judged too.
+    Rows are judged one by one, so a repeated row and a row without id are judged too. Only
+    texts go to Python and only answers come back; the columns of ``docs`` stay as they are,
+    whatever their names.
     """
     model = train(docs.where(fold_of("doc_id", FOLDS) != HELD_OUT))
-    schema = docs.schema
 
-    def keep(batches):
+    @F.arrow_udf("boolean")
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         judge = _predict(model)
-        at = schema.names.index("text")
-        for batch in slices(batches):
-            asked = pa.RecordBatch.from_arrays(
-                [pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], names=["doc_id", "text"]
-            )
+        for column in texts:
+            asked = pa.RecordBatch.from_arrays([pa.nulls(len(column), pa.int64()), column], names=["doc_id", "text"])
             scores = [s for out in judge([asked]) for s in out.column(2).to_pylist()]
-            yield batch.filter(pa.array([s >= REJECT_BELOW for s in scores], pa.bool_()))
+            yield pa.array([s >= REJECT_BELOW for s in scores], pa.bool_())
 
-    return docs.mapInArrow(keep, schema)
+    return docs.where(known(docs["text"]))

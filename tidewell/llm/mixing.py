@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import table
+from tidewell.llm.common import free_name, table
 from tidewell.scratch import written
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
@@ -189,10 +189,11 @@ def mixed(spark, docs: DataFrame, folder: str) -> DataFrame:
 
     A document that is not taken goes; one taken twice stays one row with ``copies`` 2.
     Rows of one id share the greatest decision among them. Columns of the table that have the
-    names of the added ones are replaced.
+    names of the added ones are replaced, all others stay.
     """
     found = mix(docs)
     names = ["size", "source_size", "target", "taken", "copies"]
-    plan = found.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in names)).withColumnRenamed("doc_id", "__id")
-    joined = docs.drop(*names).join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
-    return joined.where("copies > 0").drop("__id")
+    key = free_name("mixed_id", [*docs.columns, *names])
+    plan = found.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in names)).withColumnRenamed("doc_id", key)
+    joined = docs.drop(*names).join(plan, docs["doc_id"].eqNullSafe(plan[key]))
+    return joined.where("copies > 0").drop(key)
