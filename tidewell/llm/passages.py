@@ -307,7 +307,23 @@ def _verify(batches):
 PLACE = ("doc_id", "c", "l", "r")
 
 
-def _met(windows: DataFrame, keys: list[str], pivots: int) -> tuple[DataFrame, DataFrame]:
+class _Tables:
+    """Tables in the shared folder that are deleted together."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, []
+
+    def written(self, frame: DataFrame, label: str) -> DataFrame:
+        self.paths.append(scratch_dir(self.spark, label))
+        frame.write.parquet(self.paths[-1])
+        return self.spark.read.parquet(self.paths[-1])
+
+    def clean(self) -> None:
+        for path in self.paths:
+            remove_folder(self.spark, path)
+
+
+def _met(windows: DataFrame, keys: list[str], pivots: int, tables: _Tables) -> tuple[DataFrame, DataFrame]:
     """Windows with the pivots of their group, and the pivots: the first windows of its
     documents, dealt by hash to ``pivots`` parts. The earlier document of a pair is ``first``."""
     part = F.pmod(F.xxhash64("doc_id"), F.lit(pivots)).alias("part")
@@ -318,21 +334,22 @@ def _met(windows: DataFrame, keys: list[str], pivots: int) -> tuple[DataFrame, D
     )
     if pivots == 1:
         first = first.where("first_doc_id < last")
-    first = written(first.drop("last"), "passage-pivots")
+    first = tables.written(first.drop("last"), "passage-pivots")
     pairs = windows.join(first, keys).where("doc_id != first_doc_id")
     later = F.col("doc_id") > F.col("first_doc_id")
     ordered = [F.when(later, F.col(k)).otherwise(F.col(f"first_{k}")).alias(k) for k in PLACE]
     ordered += [F.when(later, F.col(f"first_{k}")).otherwise(F.col(k)).alias(f"first_{k}") for k in PLACE]
     others = [k for k in windows.columns if k not in PLACE]
-    return written(pairs.select(*others, *ordered).withColumnRenamed("first_doc_id", "first_id"), "passage-met"), first
+    pairs = pairs.select(*others, *ordered).withColumnRenamed("first_doc_id", "first_id")
+    return tables.written(pairs, "passage-met"), first
 
 
-def _bucketed(texts: DataFrame) -> DataFrame:
-    """A table in the warehouse by doc_id, so that the joins of every round leave it in place."""
-    spark = texts.sparkSession
-    name, parts = f"passage_texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts.repartition(parts, "doc_id").write.bucketBy(parts, "doc_id").sortBy("doc_id").saveAsTable(name)
-    return spark.table(name)
+def _bucketed(texts: DataFrame, name: str, path: str) -> DataFrame:
+    """A table by doc_id in the shared folder, so that the joins of every round leave it in place.
+    ``texts`` are grouped by doc_id, so each task writes the buckets it has. The name is for this run only."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts.write.bucketBy(parts, "doc_id").sortBy("doc_id").option("path", path).saveAsTable(name)
+    return texts.sparkSession.table(name)
 
 
 RESULT = "doc_id long, start_word long, end_word long, first_id long, first_start long, first_end long, similarity double"
@@ -349,7 +366,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     group in a round, a pair of documents once at most, until each has met all others of its
     group, also after rounds that find nothing. Null ids,
     null texts and texts under 50 words take no part. Rows with one id are one document:
-    the greatest text stands for it.
+    the greatest text stands for it. What a round wrote is deleted with it; only the passages stay.
     """
     spark = docs.sparkSession
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
@@ -358,24 +375,27 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     narrow.mapInArrow(_windows, WINDOWS).write.parquet(path)
     windows = spark.read.parquet(path)
     keys = ["signature", "function"]
-    met, _ = _met(windows, keys, 1)
+    tables = _Tables(spark)  # of the round that goes on
+    met, _ = _met(windows, keys, 1, tables)
     remove_folder(spark, path)
     asked = met.select("doc_id").union(met.select("first_id")).distinct()
-    texts = _bucketed(narrow.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
+    name, texts_path = f"passage_texts_{uuid.uuid4().hex}", scratch_dir(spark, "passage-texts")
+    texts = narrow.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
+    texts = _bucketed(texts, name, texts_path)
     rest, out, tested, pivots_now = None, None, None, PIVOTS
     while True:
         anchors = F.collect_list(F.struct("c", "first_c"))
         pairs = met.groupBy("doc_id", "first_id").agg(anchors.alias("anchors"))
         if tested is not None:
             pairs = pairs.join(tested, ["doc_id", "first_id"], "left_anti")
-        own = written(pairs.join(texts, "doc_id"), "passage-pairs")
+        own = tables.written(pairs.join(texts, "doc_id"), "passage-pairs")
         # The few texts that many others are compared with, by themselves: that join is
         # shuffled on both sides, so Spark can split the rows of a frequent first text.
         first = texts.join(own.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id")
-        first = written(first.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text")), "passage-first")
+        first = tables.written(first.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text")), "passage-first")
         found = written(own.join(first, "first_id").mapInArrow(_verify, RESULT), "passage-found")
         out = found if out is None else out.unionByName(found)
-        compared = own.select("doc_id", "first_id")
+        compared = written(own.select("doc_id", "first_id"), "passage-compared")
         tested = compared if tested is None else tested.unionByName(compared)
         if rest is None:  # the pivots of the first round are not in met as ``doc_id``
             sides = F.posexplode(F.array("left", "right")).alias("side", "context")
@@ -386,11 +406,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             rest = rest.join(pivots, [*keys, "doc_id", "c"], "left_anti")
         spans = found.select(F.col("doc_id").alias("in_id"), "start_word", "end_word")
         covered = (F.col("c") >= F.col("start_word")) & (F.col("c") < F.col("end_word"))
-        rest = written(rest.join(spans, (rest["doc_id"] == spans["in_id"]) & covered, "left_anti"), "passage-rest")
-        met, pivots = _met(rest, keys, pivots_now)
+        following = _Tables(spark)
+        rest = following.written(rest.join(spans, (rest["doc_id"] == spans["in_id"]) & covered, "left_anti"), "passage-rest")
+        met, pivots = _met(rest, keys, pivots_now, following)
+        tables.clean()
+        tables = following
         if met.isEmpty():  # no group holds windows of two documents that have not met
-            return out
+            break
         pivots_now *= 2
+    tables.clean()
+    spark.sql(f"DROP TABLE {name}")
+    remove_folder(spark, texts_path)
+    return out
 
 
 def op10_passages(spark, folder):
