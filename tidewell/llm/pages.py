@@ -5,18 +5,19 @@ notices, adverts, forms and comments, as their tags, roles and class names say,
 so are scripts, styles and hidden parts. If the page names its main part (an article, a main
 element, or a class for it) only blocks in there are candidates, otherwise all that are left.
 
-Candidates are then held against the other pages of the host. The token streams of a part of
+Candidates are then held against all other pages of the host. The token streams of a part of
 the host's pages are concatenated, their suffixes sorted by prefix doubling, and strings of
-``LEAST_TOKENS`` or more that occur on several distinct pages are found as equal prefixes
-of neighbours; longer prefixes would not change which tokens are covered, so doubling stops there.
+``LEAST_TOKENS`` or more are found as equal prefixes of neighbours; longer prefixes would not
+change which tokens are covered, so doubling stops there. On how many distinct pages a string
+occurs is summed over the parts of the host by its hash.
 Blocks that such strings cover are boilerplate and go; unique runs stay. On a page without a
 named main part, ``FEW_PAGES`` are enough; inside a named one a string must be on most pages of the
-part. A string that makes up half a page or more is no boilerplate, but a copy of the page, unless
+host. A string that makes up half a page or more is no boilerplate, but a copy of the page, unless
 it is on most pages.
 
 A host is dealt by hash of the page to parts of about ``PART_CHARS``, so one host may hold any share
-of the table: a string on many pages of a host is on many pages of each part. Hosts are sent to
-several tasks if they are large; a task holds one part at a time.
+of the table, and its strings by their hashes to as many tasks that sum them. What counts is the sum
+over the host, so neither the parts nor the size of the table change a result.
 
 Defined results: a null or empty page has the text ""; pages without a host in their url are not
 compared; repeated rows each have their result; other columns are not read, whatever their names.
@@ -28,25 +29,30 @@ import html
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import arrow_batch, slices, table
 
 LEAST_TOKENS = 8
 FEW_PAGES = 3
-#: Most pages: this share of a part, and so many at least.
+#: Most pages: this share of a host, and so many at least.
 MOST_SHARE, MOST_PAGES = 0.6, 8
 #: Share of a block's tokens that makes it covered.
 COVERED = 0.7
 #: Characters of candidate text in a part of a host.
 PART_CHARS = 4 << 20
-#: A host with a smaller share of the table than one in so many goes to one task.
+#: A host with a smaller share of the table than one in so many goes to one task, some chunks at a time.
 SPLIT_HOSTS = 1 << 16
+#: Bits of a string's hash: among 10^8 different strings of a host one meets another with a chance of 1.4 in 10^6.
+HASH_BITS = 46
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 # -- markup ---------------------------------------------------------------------------------
 
@@ -235,30 +241,103 @@ def string_classes(tokens: np.ndarray, least: int) -> np.ndarray:
     return ranks
 
 
+def _stream(pages: Iterable[list[str]]) -> tuple[np.ndarray, list[str], np.ndarray, list[np.ndarray]]:
+    """The concatenated pages as numbers of their different tokens, these tokens, the page of each
+    place, and the places of each page's tokens. The tokens of one page are held at a time."""
+    number: dict[str, int] = {}
+    stream, places, at = [], [], 0
+    for k, page in enumerate(pages):
+        # Between pages stands a token that occurs once.
+        stream.append(np.array([*(number.setdefault(t, len(number)) for t in page), -1 - k], np.int64))
+        places.append(np.arange(at, at + len(page), dtype=np.int64))
+        at += len(page) + 1
+    owner = np.repeat(np.arange(len(stream)), [len(own) for own in stream])
+    return np.concatenate([np.empty(0, np.int64), *stream]), list(number), owner, places
+
+
+def _tokens(pages: list[tuple[bool, list[str]]]) -> Iterator[list[str]]:
+    return ([t for b in blocks for t in b.split(" ")] for _, blocks in pages)
+
+
+def _whole(places: list[np.ndarray], size: int, least: int) -> np.ndarray:
+    """Where a string of ``least`` tokens ends on its page: one that runs over the end is no string of the page."""
+    whole = np.zeros(size, bool)
+    for own in places:
+        whole[own[: max(0, len(own) - least + 1)]] = True
+    return whole
+
+
+def _pages_with(classes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """On how many pages each class occurs."""
+    pages = int(owner[-1]) + 1 if len(owner) else 1
+    return np.bincount(np.unique(classes * pages + owner) // pages)
+
+
 def repeated_on(pages: list[list[str]], least: int = LEAST_TOKENS) -> tuple[np.ndarray, list[np.ndarray]]:
     """For each token of the concatenated pages, on how many pages the string from there occurs;
     and the places of each page's tokens."""
-    number: dict[str, int] = {}
-    lengths = np.array([len(p) for p in pages], np.int64)
-    ends = np.cumsum(lengths + 1)
-    stream = np.empty(ends[-1] if len(pages) else 0, np.int64)
-    places = []
-    for k, (page, end) in enumerate(zip(pages, ends.tolist(), strict=True)):
-        start = end - 1 - len(page)
-        stream[start : end - 1] = [number.setdefault(t, len(number)) for t in page]
-        # Between pages stands a token that occurs once.
-        stream[end - 1] = -1 - k
-        places.append(np.arange(start, end - 1))
+    stream, _, owner, places = _stream(pages)
     classes = string_classes(stream, least)
-    owner = np.repeat(np.arange(len(pages)), lengths + 1)
-    pairs = np.unique(classes * len(pages) + owner)
-    on = np.bincount(pairs // max(len(pages), 1), minlength=len(classes) + 1)[classes]
-    # A string that runs over the end of its page is no string of the page.
-    for own in places:
-        on[own[max(0, len(own) - least + 1) :]] = 0
+    on = _pages_with(classes, owner)[classes]
+    on[~_whole(places, len(stream), least)] = 0
     return on, places
 
 
+def string_hashes(stream: np.ndarray, tokens: list[str], least: int) -> np.ndarray:
+    """A hash of ``HASH_BITS`` bits of the string of ``least`` tokens at each place, the same in every part."""
+    own = np.array([xxhash.xxh64_intdigest(t.encode(errors="replace")) for t in tokens] + [0], np.uint64)[stream.clip(-1)]
+    out = np.zeros(len(stream), np.uint64)
+    for k in range(least):
+        out *= MULTIPLIER
+        out[: len(own) - k] += own[k:]
+    out = (out ^ (out >> np.uint64(32))) * MULTIPLIER
+    return out >> np.uint64(64 - HASH_BITS)
+
+
+def string_counts(pages: Iterable[list[str]], least: int = LEAST_TOKENS) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the strings of a part, ascending, and on how many of its pages each occurs."""
+    stream, tokens, owner, places = _stream(pages)
+    classes = string_classes(stream, least)
+    on = _pages_with(classes, owner)
+    whole = np.flatnonzero(_whole(places, len(stream), least))
+    found, first = np.unique(classes[whole], return_index=True)
+    hashes = string_hashes(stream, tokens, least)[whole[first]]
+    order = np.argsort(hashes)
+    return hashes[order], on[found[order]]
+
+
+def host_counts(
+    pages: Iterable[list[str]], often: tuple[np.ndarray, np.ndarray], least: int = LEAST_TOKENS
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """As ``repeated_on``, but over all pages of a host: by the hashes and counts of its frequent strings, others 0."""
+    stream, tokens, _, places = _stream(pages)
+    on = np.zeros(len(stream), np.int64)
+    if len(often[0]):
+        hashes = string_hashes(stream, tokens, least)
+        at = np.minimum(np.searchsorted(often[0], hashes), len(often[0]) - 1)
+        hit = (often[0][at] == hashes) & _whole(places, len(stream), least)
+        on[hit] = often[1][at[hit]]
+    return on, places
+
+
+def most_of(pages: int) -> int:
+    """How many of the pages of a host are most of them."""
+    return max(MOST_PAGES, int(np.ceil(MOST_SHARE * pages)))
+
+
+def packed(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending hashes, as differences, and their counts in bytes; low and high bytes apart."""
+    both = np.concatenate([np.diff(hashes, prepend=np.uint64(0)), counts.astype(np.uint64)])
+    squeeze = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_RLE)
+    return squeeze.compress(both.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()) + squeeze.flush()
+
+
+def unpacked(pack: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zlib.decompress(pack, -15), np.uint8)
+    both = np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").ravel()
+    return np.cumsum(both[: len(both) // 2], dtype=np.uint64), both[len(both) // 2 :].astype(np.int64)
+
+
 def _covered(on: np.ndarray, few: int, most: int, least: int) -> np.ndarray:
     """Which tokens of a page lie in strings on ``few`` pages or more, copies of the page aside.
 
@@ -277,23 +356,29 @@ def _covered(on: np.ndarray, few: int, most: int, least: int) -> np.ndarray:
     return covered
 
 
-def kept_blocks(pages: list[tuple[bool, list[str]]], least: int = LEAST_TOKENS) -> list[list[bool]]:
-    """Which blocks of each page (main part named or not, blocks) of a part of a host are no boilerplate."""
-    words = [[b.split(" ") for b in blocks] for _, blocks in pages]
-    on, places = repeated_on([[t for b in blocks for t in b] for blocks in words], least)
-    most = max(MOST_PAGES, int(np.ceil(MOST_SHARE * len(pages))))
+def kept_blocks(
+    pages: list[tuple[bool, list[str]]], often: tuple[np.ndarray, np.ndarray], most: int, least: int = LEAST_TOKENS
+) -> list[list[bool]]:
+    """Which blocks of each page (main part named or not, blocks) of a host are no boilerplate, by the
+    host's frequent strings; ``most`` are most of its pages."""
+    if not len(often[0]):
+        return [[True] * len(blocks) for _, blocks in pages]
+    on, places = host_counts(_tokens(pages), often, least)
     out = []
-    for (named, _), blocks, own in zip(pages, words, places, strict=True):
+    for (named, blocks), own in zip(pages, places, strict=True):
         covered = _covered(on[own], most if named else min(FEW_PAGES, most), most, least)
         sums = np.concatenate([[0], np.cumsum(covered)])
-        ends = np.cumsum([len(b) for b in blocks]).tolist()
-        out.append([sums[e] - sums[e - len(b)] < COVERED * len(b) for e, b in zip(ends, blocks, strict=True)])
+        lengths = [b.count(" ") + 1 for b in blocks]
+        ends = np.cumsum(lengths).tolist()
+        out.append([sums[e] - sums[e - n] < COVERED * n for e, n in zip(ends, lengths, strict=True)])
     return out
 
 
 # -- the table ------------------------------------------------------------------------------
 
 BLOCKED = "page_id long, url string, host string, named boolean, blocks binary, chars long, h long"
+COUNTED = "host string, bucket int, part int, pages long, unnamed long, strings binary"
+OFTEN = "host string, part int, pages long, strings binary"
 EXTRACTED = "page_id long, url string, text string, n_chars long, n_boilerplate long"
 _HOST = re.compile(r"\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.IGNORECASE)
 
@@ -313,16 +398,16 @@ def _blocked(batches):
         for page_id, url, page, h in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             level, blocks = blocks_of(page)
             joined = BREAK.join(blocks)
-            packed = zlib.compress(joined.encode(errors="replace"), 1)
+            packed = zlib.compress(joined.encode(errors="replace"), 6)
             rows.append((page_id, url, host_of(url), level > ANY, packed, len(joined), h))
         yield arrow_batch(list(zip(*rows, strict=True)), schema)
 
 
 def _parts(batches) -> Iterator[list[tuple]]:
-    """Rows of one part of a host at a time: neighbours, as sorted, up to twice ``PART_CHARS``."""
+    """Rows (host, part, ..., chars at 6) of one part of a host at a time: neighbours, as sorted, up to twice ``PART_CHARS``."""
     held, chars, place = [], 0, None
     for batch in slices(batches):
-        for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
             here = row[:2]
             if held and (here != place or here[0] is None or chars > 2 * PART_CHARS):
                 yield held
@@ -333,20 +418,78 @@ def _parts(batches) -> Iterator[list[tuple]]:
         yield held
 
 
+def _unpacked_pages(part: list[tuple]) -> list[tuple[bool, list[str]]]:
+    """Whether the main part is named and the blocks of each row."""
+    joined = ((row[4], zlib.decompress(row[5]).decode()) for row in part)
+    return [(named, text.split(BREAK) if text else []) for named, text in joined]
+
+
+def _counted(batches):
+    """The strings of each part, in as many ranges of hashes as its host has parts."""
+    schema = pa.schema(
+        [("host", pa.string()), ("bucket", pa.int32()), ("part", pa.int32()), ("pages", pa.int64()),
+         ("unnamed", pa.int64()), ("strings", pa.binary())]
+    )
+    for part in _parts(batches):
+        host, number, parts = part[0][0], part[0][1], part[0][8]
+        if host is None:
+            continue
+        pages = _unpacked_pages(part)
+        hashes, counts = string_counts(_tokens(pages))
+        bounds = np.searchsorted((hashes >> np.uint64(24)) * np.uint64(parts) >> np.uint64(HASH_BITS - 24), np.arange(parts + 1))
+        here = (number, len(pages), sum(not named for named, _ in pages))
+        for start in range(0, parts, 64):
+            rows = []
+            for bucket in range(start, min(start + 64, parts)):
+                own = slice(bounds[bucket], bounds[bucket + 1])
+                rows.append((host, bucket, *here, packed(hashes[own], counts[own])))
+            yield arrow_batch(list(zip(*rows, strict=True)), schema)
+
+
+def _groups(batches) -> Iterator[list[tuple]]:
+    """Neighbouring rows with equal first two columns."""
+    rows = (r for b in slices(batches, 16) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for _, group in groupby(rows, lambda row: row[:2]):
+        yield list(group)
+
+
+def _often(batches):
+    """Of each range of a host's strings those that are frequent enough to strike out a block of the
+    host, to each part that has them. The first range tells the parts the number of pages, too."""
+    schema = pa.schema([("host", pa.string()), ("part", pa.int32()), ("pages", pa.int64()), ("strings", pa.binary())])
+    for group in _groups(batches):
+        pages, unnamed = sum(row[3] for row in group), sum(row[4] for row in group)
+        least = min(FEW_PAGES, most_of(pages)) if unnamed else most_of(pages)
+        strings = [unpacked(row[5]) for row in group]
+        hashes, place = np.unique(np.concatenate([h for h, _ in strings]), return_inverse=True)
+        on = np.bincount(place, np.concatenate([n for _, n in strings]), len(hashes)).astype(np.int64)
+        rows, at = [], 0
+        for row, (own, _) in zip(group, strings, strict=True):
+            here = place[at : at + len(own)]
+            at += len(own)
+            here = here[on[here] >= least]
+            if len(here) or row[1] == 0:
+                rows.append((row[0], row[2], pages, packed(hashes[here], on[here])))
+        if rows:
+            yield arrow_batch(list(zip(*rows, strict=True)), schema)
+
+
 def _extracted(batches):
     schema = pa.schema(
         [("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()),
          ("n_boilerplate", pa.int64())]
     )
-    held = []
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    held, place, often, most = [], None, none, MOST_PAGES
     for part in _parts(batches):
-        pages = []
-        for row in part:
-            joined = zlib.decompress(row[5]).decode()
-            pages.append((row[4], joined.split(BREAK) if joined else []))
-        # One page repeats nothing of another.
-        kept = kept_blocks(pages) if len(pages) > 1 else [[True] * len(pages[0][1])]
-        for row, (_, blocks), keep in zip(part, pages, kept, strict=True):
+        if part[0][:2] != place or place[0] is None:  # the first row of a part has its frequent strings
+            place, often, most = part[0][:2], none, most_of(part[0][10] or 0)
+            strings = [unpacked(x) for x in part[0][9] or ()]
+            if strings:
+                hashes, first = np.unique(np.concatenate([h for h, _ in strings]), return_index=True)
+                often = hashes, np.concatenate([n for _, n in strings])[first]
+        pages = _unpacked_pages(part)
+        for row, (_, blocks), keep in zip(part, pages, kept_blocks(pages, often, most), strict=True):
             text = "\n\n".join(b for b, k in zip(blocks, keep, strict=True) if k)
             held.append((row[2], row[3], text, len(text), len(blocks) - sum(keep)))
         while len(held) >= 256:
@@ -380,9 +523,22 @@ def extracted(pages: DataFrame) -> DataFrame:
     part = F.pmod(F.col("h"), F.coalesce("parts", F.lit(1)).cast("long"))
     # Pages without a host need no company: they are dealt by hash.
     part = F.when(F.col("host").isNull(), F.pmod("h", F.lit(SPLIT_HOSTS))).otherwise(part)
-    keyed = dealt.select("host", part.cast("int").alias("part"), "page_id", "url", "named", "blocks", "chars", "h")
-    placed = keyed.repartition("host", "part").sortWithinPartitions("host", "part", "h", "page_id")
-    return placed.mapInArrow(_extracted, EXTRACTED)
+    keyed = dealt.select(
+        "host", part.cast("int").alias("part"), "page_id", "url", "named", "blocks", "chars", "h",
+        F.coalesce("parts", F.lit(1)).alias("parts"),
+    )
+    placed = keyed.repartition("host", "part")
+    # Both functions take all columns, so that Spark finds one shuffle of the pages for the two.
+    counted = placed.sortWithinPartitions("host", "part").mapInArrow(_counted, COUNTED)
+    often = counted.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_often, OFTEN)
+    often = often.groupBy("host", "part").agg(F.max("pages").alias("pages"), F.collect_list("strings").alias("strings"))
+    # Shuffled alike, and only the first row of a part takes the strings along.
+    order = F.row_number().over(Window.partitionBy("host", "part").orderBy("h", "page_id"))
+    joined = placed.withColumn("nth", order).join(often.hint("merge"), ["host", "part"], "left")
+    first = F.col("nth") == 1
+    return joined.select(
+        *placed.columns, F.when(first, F.col("strings")).alias("strings"), F.when(first, F.col("pages")).alias("pages")
+    ).mapInArrow(_extracted, EXTRACTED)
 
 
 def op12_pages(spark, folder):
