@@ -17,6 +17,7 @@ least hash some way off on that side is the same in both texts.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -45,6 +46,8 @@ WINDOWS_ARROW = pa.schema(
     [("signature", pa.int64()), ("function", pa.int32()), ("doc_id", pa.int64()), ("c", pa.int32()),
      ("l", pa.int32()), ("r", pa.int32()), ("left", pa.int32()), ("right", pa.int32())]
 )
+PACKED = "doc_id long, text binary"
+PACKED_ARROW = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
 
 
 def ordered(hashes: np.ndarray, function: int) -> np.ndarray:
@@ -276,6 +279,13 @@ def passages(
     return out
 
 
+def _packed(batches):
+    """(doc_id, text) with the texts compressed: a text is moved once for each pair it is in."""
+    for batch in slices(batches):
+        texts = [zlib.compress(t.encode(), 6) for t in batch.column(1).to_pylist()]
+        yield arrow_batch([batch.column(0).to_pylist(), texts], PACKED_ARROW)
+
+
 def _verify(batches):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("first_id", pa.int64()),
@@ -288,14 +298,15 @@ def _verify(batches):
         ends, fields = lists.offsets.to_pylist(), lists.values.type
         flat = {fields.field(i).name: lists.values.field(i).to_numpy() for i in range(fields.num_fields)}
         texts = (batch.column(c).to_pylist() for c in ("doc_id", "first_id", "text", "first_text"))
-        for i, (doc_id, first_id, text, first_text) in enumerate(zip(*texts, strict=True)):
-            if text == first_text:
+        for i, (doc_id, first_id, packed, first_packed) in enumerate(zip(*texts, strict=True)):
+            text = zlib.decompress(packed).decode()
+            if packed == first_packed:
                 n = len(text.split())
                 rows.append((doc_id, 0, n, first_id, 0, n, 1.0))
                 continue
             anchors = {name: x[ends[i] : ends[i + 1]] for name, x in flat.items()}
             if first_id != last_id:  # rows come in the order of first_id
-                last_id, earlier = first_id, shingles(first_text)
+                last_id, earlier = first_id, shingles(zlib.decompress(first_packed).decode())
                 index = placed(earlier)
             shifts = set((anchors["c"] - anchors["first_c"]).tolist())
             for start, end, f_start, f_end, similarity in passages(shingles(text), earlier, index, shifts):
@@ -346,7 +357,7 @@ def _met(windows: DataFrame, keys: list[str], pivots: int, tables: _Tables) -> t
 
 def _bucketed(texts: DataFrame, name: str, path: str) -> DataFrame:
     """A table by doc_id in the shared folder, so that the joins of every round leave it in place.
-    ``texts`` are grouped by doc_id, so each task writes the buckets it has. The name is for this run only."""
+    ``texts`` come grouped by doc_id, so each task writes the buckets it has. The name is for this run only."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts.write.bucketBy(parts, "doc_id").sortBy("doc_id").option("path", path).saveAsTable(name)
     return texts.sparkSession.table(name)
@@ -381,19 +392,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     asked = met.select("doc_id").union(met.select("first_id")).distinct()
     name, texts_path = f"passage_texts_{uuid.uuid4().hex}", scratch_dir(spark, "passage-texts")
     texts = narrow.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
-    texts = _bucketed(texts, name, texts_path)
+    texts = _bucketed(texts.mapInArrow(_packed, PACKED), name, texts_path)
     rest, out, tested, pivots_now = None, None, None, PIVOTS
     while True:
         anchors = F.collect_list(F.struct("c", "first_c"))
         pairs = met.groupBy("doc_id", "first_id").agg(anchors.alias("anchors"))
         if tested is not None:
             pairs = pairs.join(tested, ["doc_id", "first_id"], "left_anti")
-        own = tables.written(pairs.join(texts, "doc_id"), "passage-pairs")
+        own = tables.written(pairs, "passage-pairs")
         # The few texts that many others are compared with, by themselves: that join is
         # shuffled on both sides, so Spark can split the rows of a frequent first text.
         first = texts.join(own.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id")
         first = tables.written(first.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text")), "passage-first")
-        found = written(own.join(first, "first_id").mapInArrow(_verify, RESULT), "passage-found")
+        joined = own.join(texts, "doc_id").join(first, "first_id")
+        found = written(joined.mapInArrow(_verify, RESULT), "passage-found")
         out = found if out is None else out.unionByName(found)
         compared = written(own.select("doc_id", "first_id"), "passage-compared")
         tested = compared if tested is None else tested.unionByName(compared)
