@@ -287,7 +287,7 @@ def string_hashes(stream: np.ndarray, tokens: list[str], least: int) -> np.ndarr
     """A hash of ``HASH_BITS`` bits of the string of ``least`` tokens at each place, the same in every part."""
     own = np.array([xxhash.xxh64_intdigest(t.encode(errors="replace")) for t in tokens] + [0], np.uint64)[stream.clip(-1)]
     out = np.zeros(len(stream), np.uint64)
-    for k in range(least):
+    for k in range(min(least, len(stream))):
         out *= MULTIPLIER
         out[: len(own) - k] += own[k:]
     out = (out ^ (out >> np.uint64(32))) * MULTIPLIER
