@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import arrow_batch, slices, table
-from tidewell.scratch import remove_folder, scratch_dir, written
+from tidewell.scratch import remove_folder, scratch_dir, shuffles_removed, written
 
 WORDS, LEAST_WORDS = 5, 50
 LEAST_SHINGLES = LEAST_WORDS - WORDS + 1
 #: Two passages agree in a hash function with a chance equal to their similarity, so at 0.8 they
 #: agree in none of four functions with a chance of 0.2 ** 4. One is enough: each pair is verified.
 FUNCTIONS, LEAST_SIMILARITY = 4, 0.8
+#: One in so many shingles of a passage may be missing in the other text.
+SHARE = round(1 / (1 - LEAST_SIMILARITY))
 #: Windows of a group that all others are compared with in the first later round; twice as many
 #: in each round after it, so that the rounds grow with the logarithm of the largest group.
 PIVOTS = 8
@@ -46,8 +48,13 @@ WINDOWS_ARROW = pa.schema(
     [("signature", pa.int64()), ("function", pa.int32()), ("doc_id", pa.int64()), ("c", pa.int32()),
      ("l", pa.int32()), ("r", pa.int32()), ("left", pa.int32()), ("right", pa.int32())]
 )
-PACKED = "doc_id long, text binary"
-PACKED_ARROW = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
+PACKED = "doc_id long, text binary, sketch binary, sample binary"
+PACKED_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("text", pa.binary()), ("sketch", pa.binary()), ("sample", pa.binary())]
+)
+#: Of the later text of a pair, each place of so many is looked at before the texts are read.
+STEP = 2
+PAIRS = "doc_id long, first_id long, anchors array<struct<c:int,first_c:int>>"
 
 
 def ordered(hashes: np.ndarray, function: int) -> np.ndarray:
@@ -279,11 +286,48 @@ def passages(
     return out
 
 
+def sketched(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """16 bits of each shingle, and those of every ``STEP``-th place, with 0 for a shingle that the
+    text repeats: it counts as shared."""
+    sketch = (hashes >> np.uint64(48)).astype(np.uint16)
+    sketch[sketch == 0] = 1
+    _, rank, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    return sketch, np.where(times[rank] > 1, 0, sketch).astype(np.uint16)[::STEP]
+
+
+def may_share(sample: np.ndarray, there: np.ndarray) -> bool:
+    """Whether a text of this sample may hold a passage of the one whose sketch is marked in ``there``
+    (0 is marked too). Never false if it does: of the shingles of a passage at most a part of
+    ``1 - LEAST_SIMILARITY`` is not in the other text, so there are places i and j, ``LEAST_SHINGLES``
+    or more apart, with at most that part of ``j - i`` missing in the sample between them."""
+    score = np.ones(len(sample) * STEP, np.int64)
+    score[::STEP] -= SHARE * ~there[sample]
+    score = np.append(0, np.cumsum(score))
+    return bool((score[LEAST_SHINGLES:] >= np.minimum.accumulate(score)[:-LEAST_SHINGLES]).any())
+
+
 def _packed(batches):
-    """(doc_id, text) with the texts compressed: a text is moved once for each pair it is in."""
+    """The texts compressed, a text is moved once for each pair that may share a passage; their sketches."""
     for batch in slices(batches):
-        texts = [zlib.compress(t.encode(), 6) for t in batch.column(1).to_pylist()]
-        yield arrow_batch([batch.column(0).to_pylist(), texts], PACKED_ARROW)
+        texts = batch.column(1).to_pylist()
+        packed = [zlib.compress(t.encode(), 6) for t in texts]
+        sketches = ([x.tobytes() for x in sketched(shingles(t))] for t in texts)
+        yield arrow_batch([batch.column(0).to_pylist(), packed, *zip(*sketches, strict=True)], PACKED_ARROW)
+
+
+def _may_share(batches):
+    """The pairs whose sketches do not rule out a passage."""
+    last_id, there = None, np.zeros(1 << 16, bool)
+    for batch in batches:
+        kept = []
+        samples, sketches = batch.column("sample"), batch.column("first_sketch")
+        for i, first_id in enumerate(batch.column("first_id").to_pylist()):
+            if first_id != last_id:  # rows come in the order of first_id
+                last_id = first_id
+                there[:] = False
+                there[np.frombuffer(sketches[i].as_py(), np.uint16)] = there[0] = True
+            kept.append(may_share(np.frombuffer(samples[i].as_py(), np.uint16), there))
+        yield batch.select(["doc_id", "first_id", "anchors"]).filter(pa.array(kept, pa.bool_()))
 
 
 def _verify(batches):
@@ -363,6 +407,16 @@ def _bucketed(texts: DataFrame, name: str, path: str) -> DataFrame:
     return texts.sparkSession.table(name)
 
 
+def _with_both(pairs: DataFrame, texts: DataFrame, own: str, other: str, tables: _Tables) -> DataFrame:
+    """Pairs with a column of their later and one of their first text.
+
+    The few texts that many others are compared with are written by themselves: that join is
+    shuffled on both sides, so Spark can split the rows of a frequent first text."""
+    first = texts.join(pairs.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id")
+    first = tables.written(first.select(F.col("doc_id").alias("first_id"), F.col(other).alias(f"first_{other}")), "passage-first")
+    return pairs.join(texts.select("doc_id", own), "doc_id").join(first, "first_id")
+
+
 RESULT = "doc_id long, start_word long, end_word long, first_id long, first_start long, first_end long, similarity double"
 
 
@@ -377,8 +431,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     group in a round, a pair of documents once at most, until each has met all others of its
     group, also after rounds that find nothing. Null ids,
     null texts and texts under 50 words take no part. Rows with one id are one document:
-    the greatest text stands for it. What a round wrote is deleted with it; only the passages stay.
+    the greatest text stands for it. What a round wrote is deleted with it, shuffle files with the
+    query that wrote them; only the passages stay.
     """
+    with shuffles_removed(docs.sparkSession):
+        return _repeated(docs, id_col, text_col)
+
+
+def _repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     narrow = narrow.where("doc_id is not null and text is not null")
@@ -400,12 +460,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if tested is not None:
             pairs = pairs.join(tested, ["doc_id", "first_id"], "left_anti")
         own = tables.written(pairs, "passage-pairs")
-        # The few texts that many others are compared with, by themselves: that join is
-        # shuffled on both sides, so Spark can split the rows of a frequent first text.
-        first = texts.join(own.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id")
-        first = tables.written(first.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text")), "passage-first")
-        joined = own.join(texts, "doc_id").join(first, "first_id")
-        found = written(joined.mapInArrow(_verify, RESULT), "passage-found")
+        # Most pairs share little more than a shingle: sketches rule those out, and only the others move texts.
+        sketches = _with_both(own, texts, "sample", "sketch", tables)
+        alike = tables.written(sketches.mapInArrow(_may_share, PAIRS), "passage-alike")
+        found = written(_with_both(alike, texts, "text", "text", tables).mapInArrow(_verify, RESULT), "passage-found")
         out = found if out is None else out.unionByName(found)
         compared = written(own.select("doc_id", "first_id"), "passage-compared")
         tested = compared if tested is None else tested.unionByName(compared)
