@@ -19,6 +19,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterable, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +42,13 @@ PIVOTS = 8
 #: Shingles without a partner that a passage may run across: two edits close together.
 GAP = 2 * WORDS
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 #: Places from c whose least hash stands for the surroundings of one side.
 NEAR, FAR = WORDS + 1, (LEAST_SHINGLES - 1) // 2
-WINDOWS = "signature long, function int, doc_id long, c int, l int, r int, left int, right int"
+WINDOWS = "signature long, function int, doc_id long, c int, left int, right int"
 WINDOWS_ARROW = pa.schema(
     [("signature", pa.int64()), ("function", pa.int32()), ("doc_id", pa.int64()), ("c", pa.int32()),
-     ("l", pa.int32()), ("r", pa.int32()), ("left", pa.int32()), ("right", pa.int32())]
+     ("left", pa.int32()), ("right", pa.int32())]
 )
 PACKED = "doc_id long, text binary, sketch binary, sample binary"
 PACKED_ARROW = pa.schema(
@@ -68,30 +70,45 @@ def ordered(hashes: np.ndarray, function: int) -> np.ndarray:
 #: A number for each byte value, spread by the rule of ``ordered``.
 BYTES = ordered(np.arange(256, dtype=np.uint64), 0)
 #: Words hashed at once.
-BLOCK = 1 << 16
+BLOCK = 1 << 12
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    """A 64-bit hash of each word: its bytes' numbers, weighed by powers for their places."""
-    raw = np.frombuffer((" ".join(words) + " ").encode(), np.uint8)
-    ends = np.flatnonzero(raw == 32)
-    starts = np.append(0, ends[:-1] + 1)
-    lengths = ends + 1 - starts
-    place = np.arange(len(raw)) - np.repeat(starts, lengths)
-    powers = np.cumprod(np.full(lengths.max(), MULTIPLIER))
-    return np.add.reduceat(BYTES[raw] * powers[place], starts)
+    """A 64-bit hash of each word: its bytes' numbers, weighed by powers for their places.
 
-
-def shingles(text: str | None) -> np.ndarray:
-    """A 64-bit hash for each run of five lower-cased words."""
-    split = (text or "").lower().split()
-    if len(split) < WORDS:
-        return np.empty(0, np.uint64)
-    words = np.concatenate([word_hashes(split[k : k + BLOCK]) for k in range(0, len(split), BLOCK)])
+    The powers run on over a block of words; what a word's start adds to them is divided out again.
+    """
+    out, powers, inverses = [], *(np.full(1, x) for x in (MULTIPLIER, np.uint64(1)))
+    for k in range(0, len(words), BLOCK):
+        raw = np.frombuffer((" ".join(words[k : k + BLOCK]) + " ").encode(), np.uint8)
+        if len(raw) > len(powers):
+            powers, inverses = (np.cumprod(np.full(len(raw) * 9 // 8, x)) for x in (MULTIPLIER, INVERSE))
+            inverses *= MULTIPLIER  # the first place has no power to divide out
+        starts = np.append(0, np.flatnonzero(raw == 32)[:-1] + 1)
+        numbers = BYTES[raw]
+        numbers *= powers[: len(raw)]
+        out.append(np.add.reduceat(numbers, starts) * inverses[starts])
+    return np.concatenate(out)
+
+
+def shingled(texts: Iterable[str | None]) -> list[np.ndarray]:
+    """A 64-bit hash for each run of five lower-cased words, text by text."""
+    split = [(text or "").lower().split() for text in texts]
+    words = list(chain.from_iterable(split))
+    if len(words) < WORDS:
+        return [np.empty(0, np.uint64) for _ in split]
+    words = word_hashes(words)
     out = words[: len(words) - WORDS + 1].copy()
     for k in range(1, WORDS):
-        out = (out ^ (out >> np.uint64(29))) * MULTIPLIER + words[k : len(words) - WORDS + 1 + k]
-    return out
+        out ^= out >> np.uint64(29)
+        out *= MULTIPLIER
+        out += words[k : len(words) - WORDS + 1 + k]
+    ends = accumulate(len(s) for s in split)
+    return [out[end - len(s) : max(end - WORDS + 1, end - len(s))] for s, end in zip(split, ends, strict=True)]
+
+
+def shingles(text: str | None) -> np.ndarray:
+    return shingled([text])[0]
 
 
 def least_ahead(values: np.ndarray, width: int) -> np.ndarray:
@@ -151,8 +168,8 @@ def surroundings(marks: np.ndarray, at: np.ndarray, whole: np.ndarray) -> pa.Arr
 def _windows(batches):
     for batch in slices(batches):
         ids, texts = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            hashes = shingles(text)
+        both = batch.column(0).to_pylist(), shingled(batch.column(1).to_pylist())
+        for doc_id, hashes in zip(*both, strict=True):
             if len(hashes) >= LEAST_SHINGLES:
                 ids.append(doc_id), texts.append(hashes)
         if not ids:
@@ -163,11 +180,11 @@ def _windows(batches):
         marks, ids = least_ahead(hashes, FAR - NEAR + 1), np.array(ids, np.int64)
         for f in range(FUNCTIONS):
             values = ordered(hashes, f)
-            c, left, right = np.array(compact_windows(values, starts), np.int64).T
+            c = np.array([c for c, _, _ in compact_windows(values, starts)], np.int64)
             text = np.searchsorted(starts, c, "right") - 1
             start, end = starts[text], ends[text]
             columns = [values[c].view(np.int64), np.full(len(c), f, np.int32), ids[text]]
-            columns += [(x - start).astype(np.int32) for x in (c, left, right)]
+            columns.append((c - start).astype(np.int32))
             columns += [
                 surroundings(marks, c - FAR, c - FAR >= start),
                 surroundings(marks, c + NEAR, c + FAR < end),
@@ -214,11 +231,21 @@ def exact_parts(run: np.ndarray, firsts: np.ndarray) -> list[tuple[int, int]]:
     return [(i, j) for i, j in zip(begins.tolist(), ends.tolist(), strict=True) if j - i >= LEAST_SHINGLES]
 
 
+def different(values: np.ndarray) -> np.ndarray:
+    """The different values in order."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])]
+
+
 def _compared(later, earlier, places: np.ndarray, firsts: np.ndarray) -> tuple[int, int, int, int, float]:
     """The passage from the first to the last of the places, with its similarity."""
     start, end, f_start, f_end = int(places[0]), int(places[-1]) + 1, int(firsts.min()), int(firsts.max()) + 1
-    a, b = set(later[start:end].tolist()), set(earlier[f_start:f_end].tolist())
-    return start, end, f_start, f_end, len(a & b) / len(a | b)
+    a, b = later[start:end], earlier[f_start:f_end]
+    if np.array_equal(a, b):
+        return start, end, f_start, f_end, 1.0
+    a, b = different(a), different(b)
+    either = len(different(np.concatenate([a, b])))
+    return start, end, f_start, f_end, (len(a) + len(b) - either) / either
 
 
 def passages(
@@ -265,9 +292,9 @@ def passages(
                 continue
             own, first = run[begins[k] : ends[k]], firsts[begins[k] : ends[k]]
             whole = [(0, len(own))]
-            for parts in (whole, alike_parts(own, first)):
+            for parts in (whole, None):
                 below = []
-                for i, j in parts:
+                for i, j in parts or alike_parts(own, first):  # only of a run below the similarity
                     passage = _compared(later, earlier, own[i:j], first[i:j])
                     if passage[4] < LEAST_SIMILARITY:
                         below.append((i, j))
@@ -291,8 +318,12 @@ def sketched(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     text repeats: it counts as shared."""
     sketch = (hashes >> np.uint64(48)).astype(np.uint16)
     sketch[sketch == 0] = 1
-    _, rank, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    return sketch, np.where(times[rank] > 1, 0, sketch).astype(np.uint16)[::STEP]
+    in_order, sample = np.sort(hashes), sketch[::STEP].copy()
+    repeated = in_order[1:][in_order[1:] == in_order[:-1]]
+    if len(repeated):
+        at = np.minimum(np.searchsorted(repeated, hashes[::STEP]), len(repeated) - 1)
+        sample[repeated[at] == hashes[::STEP]] = 0
+    return sketch, sample
 
 
 def may_share(sample: np.ndarray, there: np.ndarray) -> bool:
@@ -310,8 +341,8 @@ def _packed(batches):
     """The texts compressed, a text is moved once for each pair that may share a passage; their sketches."""
     for batch in slices(batches):
         texts = batch.column(1).to_pylist()
-        packed = [zlib.compress(t.encode(), 6) for t in texts]
-        sketches = ([x.tobytes() for x in sketched(shingles(t))] for t in texts)
+        packed = [zlib.compress(t.encode(), 1) for t in texts]
+        sketches = ([x.tobytes() for x in sketched(hashes)] for hashes in shingled(texts))
         yield arrow_batch([batch.column(0).to_pylist(), packed, *zip(*sketches, strict=True)], PACKED_ARROW)
 
 
@@ -335,31 +366,39 @@ def _verify(batches):
         [("doc_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("first_id", pa.int64()),
          ("first_start", pa.int64()), ("first_end", pa.int64()), ("similarity", pa.float64())]
     )
-    last_id, earlier, index = None, None, None
+    read_id = last_id = earlier = index = None
     for batch in slices(batches, 32):
         rows = []
         lists = batch.column("anchors")
         ends, fields = lists.offsets.to_pylist(), lists.values.type
         flat = {fields.field(i).name: lists.values.field(i).to_numpy() for i in range(fields.num_fields)}
-        texts = (batch.column(c).to_pylist() for c in ("doc_id", "first_id", "text", "first_text"))
-        for i, (doc_id, first_id, packed, first_packed) in enumerate(zip(*texts, strict=True)):
+        columns = (batch.column(c).to_pylist() for c in ("doc_id", "first_id", "text", "first_text"))
+        pairs, unread = [], []
+        for i, (doc_id, first_id, packed, first_packed) in enumerate(zip(*columns, strict=True)):
             text = zlib.decompress(packed).decode()
             if packed == first_packed:
                 n = len(text.split())
                 rows.append((doc_id, 0, n, first_id, 0, n, 1.0))
                 continue
+            if first_id != read_id:  # rows come in the order of first_id
+                read_id = first_id
+                unread.append(zlib.decompress(first_packed).decode())
+            unread.append(text)
+            pairs.append((i, doc_id, first_id))
+        read = iter(shingled(unread))
+        for i, doc_id, first_id in pairs:
             anchors = {name: x[ends[i] : ends[i + 1]] for name, x in flat.items()}
-            if first_id != last_id:  # rows come in the order of first_id
-                last_id, earlier = first_id, shingles(zlib.decompress(first_packed).decode())
+            if first_id != last_id:
+                last_id, earlier = first_id, next(read).copy()
                 index = placed(earlier)
             shifts = set((anchors["c"] - anchors["first_c"]).tolist())
-            for start, end, f_start, f_end, similarity in passages(shingles(text), earlier, index, shifts):
+            for start, end, f_start, f_end, similarity in passages(next(read), earlier, index, shifts):
                 rows.append((doc_id, start, end + WORDS - 1, first_id, f_start, f_end + WORDS - 1, similarity))
         if rows:
             yield arrow_batch(list(zip(*rows, strict=True)), schema)
 
 
-PLACE = ("doc_id", "c", "l", "r")
+PLACE = ("doc_id", "c")
 
 
 class _Tables:
@@ -378,6 +417,12 @@ class _Tables:
             remove_folder(self.spark, path)
 
 
+def _groups(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the groups that hold windows of two documents: most windows have their key for themselves."""
+    ids = windows.groupBy(*keys).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    return ids.where("first < last").select(*keys)
+
+
 def _met(windows: DataFrame, keys: list[str], pivots: int, tables: _Tables) -> tuple[DataFrame, DataFrame]:
     """Windows with the pivots of their group, and the pivots: the first windows of its
     documents, dealt by hash to ``pivots`` parts. The earlier document of a pair is ``first``."""
@@ -447,8 +492,11 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     windows = spark.read.parquet(path)
     keys = ["signature", "function"]
     tables = _Tables(spark)  # of the round that goes on
-    met, _ = _met(windows, keys, 1, tables)
+    grouped = _Tables(spark)  # of the first meeting only
+    shared = grouped.written(windows.join(_groups(windows, keys).hint("shuffle_hash"), keys, "left_semi"), "passage-shared")
     remove_folder(spark, path)
+    met, _ = _met(shared, keys, 1, tables)
+    grouped.clean()
     asked = met.select("doc_id").union(met.select("first_id")).distinct()
     name, texts_path = f"passage_texts_{uuid.uuid4().hex}", scratch_dir(spark, "passage-texts")
     texts = narrow.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
@@ -469,15 +517,18 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         tested = compared if tested is None else tested.unionByName(compared)
         if rest is None:  # the pivots of the first round are not in met as ``doc_id``
             sides = F.posexplode(F.array("left", "right")).alias("side", "context")
-            rest = met.select("signature", "function", *PLACE, sides).where("context is not null")
-            keys += ["side", "context"]
+            rest = met
         else:
             pivots = pivots.select(*keys, F.col("first_doc_id").alias("doc_id"), F.col("first_c").alias("c"))
             rest = rest.join(pivots, [*keys, "doc_id", "c"], "left_anti")
         spans = found.select(F.col("doc_id").alias("in_id"), "start_word", "end_word")
         covered = (F.col("c") >= F.col("start_word")) & (F.col("c") < F.col("end_word"))
         following = _Tables(spark)
-        rest = following.written(rest.join(spans, (rest["doc_id"] == spans["in_id"]) & covered, "left_anti"), "passage-rest")
+        rest = rest.join(spans, (rest["doc_id"] == spans["in_id"]) & covered, "left_anti")
+        if "side" not in keys:
+            rest = rest.select(*keys, *PLACE, sides).where("context is not null")
+            keys += ["side", "context"]
+        rest = following.written(rest, "passage-rest")
         met, pivots = _met(rest, keys, pivots_now, following)
         tables.clean()
         tables = following
